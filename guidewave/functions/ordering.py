@@ -99,7 +99,7 @@ def hash_rank(df: DataFrame, keys: Sequence[str], digest: str, out: str = "draw"
     return ranked.withColumn(out, (F.col("_one_below") + 1).cast("bigint")).drop("_one", "_one_below").withColumnRenamed("_one_total", f"{out}_of")
 
 
-def bh_adjust(df: DataFrame, p: str, out: str, family: Sequence[str] = ()) -> DataFrame:
+def bh_adjust(df: DataFrame, p: str, out: str, family: Sequence[str] = (), materialise: bool = True) -> DataFrame:
     """Benjamini-Hochberg adjusted values inside each family; NULL stays NULL and is not counted.
 
     Equal p-values always share one adjusted value, so the step-up is computed on
@@ -107,7 +107,7 @@ def bh_adjust(df: DataFrame, p: str, out: str, family: Sequence[str] = ()) -> Da
     both sides of that join see identical numbers.
     """
     family = list(family)
-    tests = cut_lineage(df)
+    tests = cut_lineage(df) if materialise else df
     counted = value_counts(tests.where(F.col(p).isNotNull()), family, p)
     bucket = F.when(F.col(p) <= 0, F.lit(-10000)).otherwise(F.floor(F.log2(F.col(p)) * 16)).cast("int")
     runs = running_sums(counted, family, p, ["n"], bucket).withColumn("_bucket", bucket)
@@ -119,3 +119,14 @@ def bh_adjust(df: DataFrame, p: str, out: str, family: Sequence[str] = ()) -> Da
     adjusted = raw.join(heads, [*family, "_bucket"]).select(
         *family, p, F.least(F.lit(1.0), F.min("_raw").over(onward), F.col("_later")).alias(out))
     return tests.join(adjusted, [*family, p], "left")
+
+
+def bh_adjust_columns(df: DataFrame, key: Sequence[str], columns: dict[str, str]) -> DataFrame:
+    """Adjust several p-value columns, each its own family, in one ordered pass; ``key`` identifies a row."""
+    key = list(key)
+    tests = cut_lineage(df)
+    stacked = F.explode(F.array(*[F.struct(F.lit(p).alias("_family"), F.col(p).alias("_p")) for p in columns]))
+    long = tests.select(*key, stacked.alias("_s")).select(*key, "_s._family", "_s._p")
+    adjusted = bh_adjust(long, "_p", "_q", ["_family"], materialise=False)
+    wide = adjusted.groupBy(*key).agg(*[F.max(F.when(F.col("_family") == p, F.col("_q"))).alias(out) for p, out in columns.items()])
+    return tests.join(wide, key, "left")
