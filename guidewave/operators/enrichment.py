@@ -198,7 +198,7 @@ def omnibus_permutation(cells: DataFrame, n_permutations: int, seed: int = 0, mi
 
 def strongest_pairs(table: DataFrame, n: int) -> DataFrame:
     """Top significant pairs by |log2 odds ratio|."""
-    return table.where("significant").orderBy(F.abs("log2_odds_ratio").desc(), "target", "cluster").limit(n)
+    return table.where("significant").orderBy(F.round(F.abs("log2_odds_ratio"), 9).desc(), "target", "cluster").limit(n)
 
 
 def display_table(table: DataFrame) -> DataFrame:
