@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,11 +41,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the checkpoint folder.
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
 
     Used where a table is read by several branches whose rows must agree to the
-    last bit (floating-point sums may differ between two evaluations) and
-    between the rounds of iterative operators.
+    last bit (floating-point sums may differ between two evaluations), where
+    recomputing it would repeat heavy joins, and between the rounds of iterative
+    operators.  A written table survives lost executors and, unlike a cached one,
+    keeps column pruning and size statistics.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/guidewave-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

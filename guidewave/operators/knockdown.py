@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from ..functions.ordering import bh_adjust_columns, running_sums
 from ..functions.scalars import log2_ratio, ratio, significant3
+from ..functions.session import cut_lineage
 from . import ranktests as R
 from .labels import is_perturbed, is_reference
 from .ranktests import with_zero_block
@@ -93,7 +94,7 @@ def perturbation_strength(cells: DataFrame, expr: DataFrame, features: DataFrame
                           min_cells: int = 10, min_control: int = 10, min_pct_expressing: float = 1.0, alpha: float = 0.05, max_log2fc: float = 0.0, value: str = "lognorm") -> DataFrame:
     """One row per testable target: effects, KS and rank-sum tests with FDR per arm, hit call and rank."""
     targets = target_genes(target_sizes(cells, control_classes), gene_map)
-    counts = own_gene_counts(cells, expr, targets, control_classes, value)
+    counts = cut_lineage(own_gene_counts(cells, expr, targets, control_classes, value))
     effect = knockdown_effect(counts, value)
     tested = eligibility(targets, effect, features, primary, min_cells, min_pct_expressing).where(F.col("reason").isNull()).select("target", "gene")
     table = tested.join(effect, "target").join(rank_statistics(counts, value), "target")

@@ -32,11 +32,12 @@ def R6(x: str, digits: int = 6) -> str:
 
 
 def lognorm(spark, sf):
-    return N.normalize_total(S.expr(spark, sf), 1e4)
+    return S.stored(spark, sf, "lognorm", lambda: N.normalize_total(S.expr(spark, sf), 1e4))
 
 
 def screened(spark, sf):
-    return S.cells(spark, sf).select("cell_id", "target", "guide", "sample", "condition", "perturbation_class", "control_class")
+    wanted = ["cell_id", "target", "guide", "sample", "condition", "perturbation_class", "control_class"]
+    return S.stored(spark, sf, "cells", lambda: S.cells(spark, sf).select(*wanted))
 
 
 # ---- normalisation

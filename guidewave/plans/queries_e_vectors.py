@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.session import cut_lineage
 from ..operators import embedding as B
 from ..operators import neighborhood as H
 from ..operators import neighbors as KN
@@ -25,7 +24,7 @@ SUBQUERIES.update({
 
 
 def edges(spark, sf, k=K):
-    return KN.knn(S.vectors(spark, sf), k)
+    return S.stored(spark, sf, f"knn{k}", lambda: KN.knn(S.vectors(spark, sf), k))
 
 
 def cells(spark, sf):
@@ -103,8 +102,7 @@ _NULL = """WITH ranks AS (SELECT i AS perm, cell_id, row_number() OVER (PARTITIO
 
 @register("stat_26_permutation_null", f"SELECT * FROM ({_NULL})")
 def stat_26(spark, sf):
-    e = cut_lineage(edges(spark, sf))
-    out = H.permutation_null(cells(spark, sf), e, K, CLASSES, 20)
+    out = H.permutation_null(cells(spark, sf), edges(spark, sf), K, CLASSES, 20)
     return _round(_round(out, "observed", "null_mean", "null_sd", "p_empirical", "fdr"), "z_score", digits=5)
 
 
@@ -155,6 +153,7 @@ def ml_02(spark, sf):
 
 
 def rna_components(spark, sf):
+    # three small results of one fit
     return B.rna_pca(S.cell_metadata(spark, sf), lognorm(spark, sf), ordered_genes(spark, sf), n_cells(spark, sf), 10)
 
 

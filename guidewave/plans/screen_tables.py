@@ -9,9 +9,12 @@ The SQL side of every definition stands next to it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.session import cut_lineage
 from ..operators import guides as G
 from ..operators import labels as L
 from .registry import SUBQUERIES
@@ -30,6 +33,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A stage table of the screen (labelled cells, normalised values, neighbour edges), written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        _STORED[key] = cut_lineage(build())
+    return _STORED[key]
+
+
 def _cell(column: str):
     return F.concat(F.lit("C"), F.col(column).cast("string"))
 
