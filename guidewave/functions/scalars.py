@@ -19,7 +19,7 @@ def lane_cell_id(barcode: Column, lane: Column) -> Column:
 def split_list(text: Column, separator: str = ",") -> Column:
     """Trimmed, non-empty members of a delimited list; NULL gives an empty list."""
     parts = F.split(F.coalesce(text, F.lit("")), re.escape(separator))
-    return F.filter(F.transform(parts, F.trim), lambda item: item != "")
+    return F.filter(F.transform(parts, lambda item: F.trim(item)), lambda item: item != "")
 
 
 def any_regex(text: Column, patterns: Sequence[str]) -> Column:

@@ -40,6 +40,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
 
@@ -50,6 +55,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     keeps column pruning and size statistics.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/guidewave-{uuid.uuid4().hex}"
+    path = shared_path(spark, "guidewave")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
