@@ -149,13 +149,14 @@ def rank_sum_exact_less(n: pd.Series, m: pd.Series, u: pd.Series) -> pd.Series:
 def rank_sum_less(n: Column, m: Column, u: Column, ties: Column) -> Column:
     """One-sided rank-sum p-value (first group smaller); ``ties`` is the sum of t^3 - t over tie groups."""
     exact = (F.least(n, m) <= RANK_SUM_EXACT_MAX) & (ties == 0)
-    return F.when(exact, rank_sum_exact_less(n, m, u)).otherwise(_rank_sum_normal(n, m, u, ties, two_sided=False))
+    # Python functions are evaluated for every row, so rows for the normal tail are masked out
+    return F.when(exact, rank_sum_exact_less(n, m, F.when(exact, u))).otherwise(_rank_sum_normal(n, m, u, ties, two_sided=False))
 
 
 def rank_sum_two_sided(n: Column, m: Column, u: Column, ties: Column) -> Column:
     exact = (F.least(n, m) <= RANK_SUM_EXACT_MAX) & (ties == 0)
     low = F.least(u, n * m - u)
-    p = F.least(F.lit(1.0), 2 * rank_sum_exact_less(n, m, low))
+    p = F.least(F.lit(1.0), 2 * rank_sum_exact_less(n, m, F.when(exact, low)))
     return F.when(exact, p).otherwise(_rank_sum_normal(n, m, u, ties, two_sided=True))
 
 

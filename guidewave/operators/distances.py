@@ -229,7 +229,9 @@ def principal_coordinates(pairs: DataFrame, n_components: int = 10) -> tuple[Dat
     values = np.asarray(svd.s.toArray())
     signs = svd.U.rows.map(lambda r: np.asarray(r.vector.toArray()) * v[r.index]).sum()
     numbered.unpersist()
-    keep = [i for i in range(len(values)) if signs[i] > 0 and values[i] > 1e-10][:n_components]
+    # singular values come from the squared matrix: below this they are rounding
+    floor = max(1e-10, 1e-7 * float(values.max(initial=0.0)))
+    keep = [i for i in range(len(values)) if signs[i] > 0 and values[i] > floor][:n_components]
     axes = v[:, keep] * np.sqrt(values[keep])
     if axes.size:
         axes = axes * np.sign(axes[np.abs(axes).argmax(0), np.arange(axes.shape[1])])

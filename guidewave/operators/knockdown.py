@@ -98,6 +98,8 @@ def perturbation_strength(cells: DataFrame, expr: DataFrame, features: DataFrame
     effect = knockdown_effect(counts, value)
     tested = eligibility(targets, effect, features, primary, min_cells, min_pct_expressing).where(F.col("reason").isNull()).select("target", "gene")
     table = tested.join(effect, "target").join(rank_statistics(counts, value), "target")
+    # one row per target, but exact KS tails are the costly part: spread them over all cores
+    table = table.repartition(max(1, table.sparkSession.sparkContext.defaultParallelism), "target")
     names = ["mean_lognorm_perturbed", "mean_lognorm_control", "log2fc", "pct_knockdown", "pct_cells_expressing_perturbed", "pct_cells_expressing_control", "ks_stat"]
     for arm in ARMS:
         enough = F.col(f"n_control_{arm}") >= min_control
