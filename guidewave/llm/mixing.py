@@ -26,9 +26,12 @@ TARGETS = {"plain": 0.15, "good": 0.85, "toxic": 0.0}
 FEATURE_BITS = 18
 #: standard errors by which a feature's rate in a domain must differ to count
 EVIDENCE = 5.0
-#: evidence added up beyond this many nats counts no further
-LOGIT_BOUND = 30.0
-TOLERANCE = 1e-4
+#: labelled rows that the classifier is fitted to, at most
+SAMPLE_ROWS = 20_000
+FIT_STEPS, RIDGE = 200, 1.0
+TOLERANCE = 1e-3
+#: pull of every rate towards 1, against the pull of the targets
+HOLD = 0.05
 _SLICE = 4 << 20
 
 
@@ -68,35 +71,87 @@ def _presence(batches):
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at[0], np.arange(len(DOMAINS)))), pa.array(np.append(at[1], np.full(len(DOMAINS), -1))), pa.array(np.append(held[at], docs))], ["domain", "bucket", "n"])
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Prior log odds and evidence per (domain, feature) from all labelled rows of ``docs``.
-
-    A feature is a hashed word or run of marks, present or absent.  It speaks
-    for or against a domain only if its share of documents differs there by
-    ``EVIDENCE`` standard errors, so rare words add no noise.  At most
-    2^18 x 3 sums come to the driver, whatever the corpus.
-    """
-    own = docs.select("doc_id", docs["text"].cast("string").alias("text")).join(labelled_domains(labels), "doc_id").select("text", "domain")
-    sums = own.mapInArrow(_presence, "domain long, bucket long, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toPandas()
+def _telling(sums) -> np.ndarray:
+    """Features whose share of documents in some domain differs from the other domains' by ``EVIDENCE`` standard errors."""
     n, bucket, domain = sums["n"].to_numpy(), sums["bucket"].to_numpy(), sums["domain"].to_numpy()
     size = np.zeros(len(DOMAINS))
     size[domain[bucket < 0]] = n[bucket < 0]
     held = np.zeros((len(DOMAINS), 1 << FEATURE_BITS))
     held[domain[bucket >= 0], bucket[bucket >= 0]] = n[bucket >= 0]
     rest, rest_size = held.sum(axis=0) - held, size.sum() - size
-    p, q = (held + 0.5) / (size + 1)[:, None], (rest + 0.5) / (rest_size + 1)[:, None]
+    apart = np.abs((held + 0.5) / (size + 1)[:, None] - (rest + 0.5) / (rest_size + 1)[:, None])
     pooled = (held.sum(axis=0) + 1) / (size.sum() + 2)
     error = np.sqrt(pooled * (1 - pooled) * (1 / (size + 1) + 1 / (rest_size + 1))[:, None])
-    weight = np.where(np.abs(p - q) > EVIDENCE * error, np.log(p / q), 0.0)
-    weight[:, held.sum(axis=0) == 0] = 0.0
-    return np.log((size + 0.5) / (rest_size + 0.5)), weight
+    return np.flatnonzero(((apart > EVIDENCE * error) & (held.sum(axis=0) > 0)).any(axis=0))
+
+
+def _logistic(row: np.ndarray, feature: np.ndarray, domain: np.ndarray, n_features: int) -> tuple[np.ndarray, np.ndarray]:
+    """Intercepts and weights (domain x feature) of a multinomial logistic regression, by accelerated gradient steps."""
+    n, k = len(domain), len(DOMAINS)
+    truth = np.eye(k)[domain]
+    width = np.bincount(row, minlength=n)
+    step = 1.0 / (0.5 * (1 + (width.max() if len(row) else 0)) + RIDGE)  # the curvature of one row is at most half its squared length
+    seen = np.bincount(feature, minlength=n_features)
+    speed = n / np.maximum(np.append(seen, n), 1.0) ** 0.5 / n**0.5  # rare features move faster
+    w = np.zeros((k, n_features + 1))
+    ahead, momentum = w.copy(), 1.0
+    for _ in range(FIT_STEPS):
+        score = np.stack([np.bincount(row, ahead[c][feature], minlength=n) + ahead[c, -1] for c in range(k)], axis=1)
+        p = np.exp(score - score.max(axis=1, keepdims=True))
+        wrong = p / p.sum(axis=1, keepdims=True) - truth
+        slope = np.stack([np.append(np.bincount(feature, wrong[row, c], minlength=n_features), wrong[:, c].sum()) for c in range(k)])
+        slope[:, :-1] += RIDGE * ahead[:, :-1]
+        new = ahead - step * speed * slope / n
+        faster = (1 + (1 + 4 * momentum**2) ** 0.5) / 2
+        if ((new - w) * slope).sum() > 0:  # uphill: begin the momentum anew
+            faster = 1.0
+        ahead, w, momentum = new + (momentum - 1) / faster * (new - w), new, faster
+    return w[:, -1], w[:, :-1]
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Intercepts and weights (domain x hashed feature) of the domain classifier.
+
+    A feature is a hashed word or run of marks, present or absent.  Which
+    features tell domains apart is counted over all labelled rows of ``docs``
+    (at most 3 x 2^18 sums come to the driver); a logistic regression on these
+    is fitted to at most ``sample_rows`` labelled rows, the first ones in the
+    order of a hash of their ids.
+    """
+    spark = docs.sparkSession
+    own = docs.select("doc_id", docs["text"].cast("string").alias("text")).join(labelled_domains(labels), "doc_id")
+    sums = own.select("text", "domain").mapInArrow(_presence, "domain long, bucket long, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    telling = _telling(sums) if len(sums) else np.zeros(0, np.int64)
+    place = np.full(1 << FEATURE_BITS, -1, np.int32)
+    place[telling] = np.arange(len(telling))
+    sent = spark.sparkContext.broadcast(place)
+
+    def held(batches):
+        for batch in batches:
+            out = []
+            for lo, hi, row, bucket, _ in _features(batch.column(0)):
+                at = sent.value[bucket]
+                row, at = row[at >= 0], at[at >= 0]
+                out.extend(np.split(at, np.searchsorted(row, np.arange(1, hi - lo))))
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(out, pa.list_(pa.int32()))], ["key", "domain", "features"])
+
+    chosen = (own.select("text", F.xxhash64("doc_id").alias("key"), F.col("domain").cast("long").alias("domain"))
+              .mapInArrow(held, "key long, domain long, features array<int>").orderBy("key", "domain", F.size("features")).limit(sample_rows).toPandas())
+    weight = np.zeros((len(DOMAINS), 1 << FEATURE_BITS))
+    if not len(chosen):
+        return np.zeros(len(DOMAINS)), weight
+    lengths = chosen["features"].map(len).to_numpy()
+    feature = np.concatenate([np.asarray(x, np.int64) for x in chosen["features"]])
+    bias, fitted = _logistic(np.repeat(np.arange(len(chosen)), lengths), feature, chosen["domain"].to_numpy(), len(telling))
+    weight[:, telling] = fitted
+    return bias, weight
 
 
 def posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The columns of ``docs`` without its text, and tokens and p (one posterior per domain, summing to 1), for every row.
 
-    A text without words, or null, has 0 tokens and the priors.  Without any
-    labelled row all domains are equally likely.
+    A text without words, or null, has 0 tokens and the posteriors of no
+    feature.  Without any labelled row all domains are equally likely.
     """
     prior, weight = train(docs, labels)
     model = docs.sparkSession.sparkContext.broadcast((prior, weight.astype(np.float32)))
@@ -109,7 +164,7 @@ def posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
             for lo, hi, row, bucket, n in _features(batch.column(len(kept))):
                 tokens[lo:hi] = n
                 for k in range(len(prior)):
-                    score[lo:hi, k] += np.clip(np.bincount(row, weight[k][bucket], minlength=hi - lo), -LOGIT_BOUND, LOGIT_BOUND)
+                    score[lo:hi, k] += np.bincount(row, weight[k][bucket], minlength=hi - lo)
             score = np.exp(score - score.max(axis=1, keepdims=True)) if batch.num_rows else score
             p = score / score.sum(axis=1, keepdims=True)
             flat = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * len(prior), pa.array(p.reshape(-1)))
@@ -123,21 +178,28 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def _rates(p: np.ndarray, steps: Sequence[np.ndarray]) -> np.ndarray:
-    """Rates after the given gradient steps; each takes p times its vector off and stops at zero."""
-    rate = np.ones(len(p))
-    for step in steps:
-        rate = np.maximum(rate - p @ step, 0.0)
-    return rate
+def _rates(p: np.ndarray, steps: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rates after the given gradient steps, and the point ahead of them at which the next step is taken.
+
+    A step takes p times its vector off, and its last number's part of the
+    distance from 1, and stops at zero; the point ahead carries a growing part
+    of the last move on (Nesterov's rule).
+    """
+    rate = ahead = np.ones(len(p))
+    for k, step in enumerate(steps):
+        new = np.maximum(ahead - p @ step[:-1] - step[-1] * (ahead - 1.0), 0.0)
+        ahead = new + k / (k + 3) * (new - rate)
+        rate = new
+    return rate, ahead
 
 
 def _totals(members: DataFrame, steps: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Expected domain tokens at the rates after ``steps``, and sum of t p p'."""
+    """Expected domain tokens at the point ahead of the rates after ``steps``, and sum of t p p'."""
     def per_batch(batches):
         total, square = np.zeros(width), np.zeros((width, width))
         for batch in batches:
             p, t = _matrix(batch.column(1), width), batch.column(0).to_numpy().astype(float)
-            total += (t * _rates(p, steps)) @ p
+            total += (t * _rates(p, steps)[1]) @ p
             square += (p * t[:, None]).T @ p
         yield pa.RecordBatch.from_arrays([pa.array([[*total, *square.reshape(-1)]])], ["v"])
 
@@ -154,9 +216,10 @@ def fit(members: DataFrame, shares: Sequence[float], tolerance: float = TOLERANC
     The budget is the tokens outside domains with share 0, so the rest keeps
     about its size.  The squared gaps are weighted by the domains' own sums of
     t p p, so that a small domain converges as fast as a large one; the step is
-    one over the largest curvature in that scale, so every step descends.  It
-    ends when all totals are within ``tolerance`` of the budget of their
-    targets, or no longer move (targets that no rates can reach).
+    one over the largest curvature in that scale, with momentum.  ``HOLD`` ties
+    every rate to 1, so that a target which cannot be met (a share of 0 with
+    uncertain posteriors) takes the documents most likely of that domain, not
+    all a little.  Steps end when no total moves by ``tolerance`` of the budget.
     """
     width = len(shares)
     wanted = np.array(shares, float) / (sum(shares) or 1)
@@ -168,13 +231,12 @@ def fit(members: DataFrame, shares: Sequence[float], tolerance: float = TOLERANC
     scale = np.maximum(np.diag(square), 1e-12 * np.trace(square))
     curvature = np.linalg.eigvalsh(square / np.sqrt(np.outer(scale, scale)))[-1]
     steps: list[np.ndarray] = []
-    while np.abs(total - target).max() > tolerance * budget:
-        steps.append((total - target) / scale / curvature)
+    while True:
+        steps.append(np.append((total - target) / scale, HOLD) / (curvature + HOLD))
         last = total
         total, _ = _totals(members, steps, width)
-        if np.abs(total - last).max() <= tolerance * budget / 100:
-            break
-    return steps
+        if np.abs(total - last).max() <= tolerance * budget:
+            return steps
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
@@ -191,7 +253,7 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] |
     def per_batch(batches):
         at = columns.index("p")
         for batch in batches:
-            rate = _rates(_matrix(batch.column(at), len(DOMAINS)), steps)
+            rate, _ = _rates(_matrix(batch.column(at), len(DOMAINS)), steps)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate), pa.array(np.floor(rate + 0.5).astype(np.int64))], names=[*columns, "rate", "copies"])
 
     return members.mapInArrow(per_batch, widened(members.schema, "rate double, copies long"))
