@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, sharding, simhash
+from . import decontaminate, language, mixing, secrets, sharding, simhash, suffix_lm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +73,18 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mixing_rates(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "tokens", *[F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(mixing.DOMAINS)], "rate", "copies")
+
+
+@query("op9_suffix_tree_scores")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_lm.scored(table(spark, sf_dir, "documents"), ~held_out(5, 1))
+    return found.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op2_secrets")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    base, every = tuple(r.kind for r in secrets.BASE_RULES), tuple(r.kind for r in secrets.RULES)
+    count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return secrets.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", *map(count, base), F.sha2(secrets.joined_spans(spans, base).cast("binary"), 256).alias("base_sha256"), secrets.joined_spans(spans, every).alias("spans"))
