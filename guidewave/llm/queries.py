@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, secrets, sharding, simhash, suffix_lm
+from . import decontaminate, language, licenses, mixing, pii, secrets, sharding, simhash, suffix_lm, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,31 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return secrets.scan(table(spark, sf_dir, "documents")).select(
         "doc_id", *map(count, base), F.sha2(secrets.joined_spans(spans, base).cast("binary"), 256).alias("base_sha256"), secrets.joined_spans(spans, every).alias("spans"))
+
+
+@query("op7_winnowing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compared(table(spark, sf_dir, "documents"))
+
+
+@query("op6_licenses")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda s: s["base"])
+    starts = F.transform(base, lambda s: s["first_word"])
+    labels = lambda spans: F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))))
+    return found.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
+                        labels(base).alias("base_labels"), labels(F.col("found")).alias("labels"), F.coalesce(F.array_max(F.transform("found", lambda s: s["coverage"])), F.lit(0.0)).alias("score"))
+
+
+@query("op1_personal_data")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    place = F.create_map(*[x for k, kind in enumerate(pii.KINDS) for x in (F.lit(kind), F.lit(k))])
+
+    def joined(spans):
+        ordered = F.array_sort(F.transform(spans, lambda s: F.struct(place[s["kind"]].alias("place"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+        return F.concat_ws(",", F.transform(ordered, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"))
