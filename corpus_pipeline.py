@@ -8,30 +8,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guidewave.functions.session import cut_lineage
 from guidewave.llm import decontaminate, language, mixing, sharding, simhash
 
 
+def _whole(docs: DataFrame) -> Column:
+    """All columns of a row in one, out of the way of the operators' own names."""
+    return F.struct(*docs.columns).alias("own")
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without any letter (or a null text) go."""
-    found = language.identify(docs, docs)
-    return found.where(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
+    found = language.identify(docs.select("text", _whole(docs)), docs.select("text", "lang"))
+    return found.where(F.col("lang_pred") != language.UNDETERMINED).select("own.*")
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row of the smallest doc_id of each near-duplicate class; of repeated rows with that id, one."""
-    found = simhash.near_duplicates(docs)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    return kept.dropDuplicates(["doc_id"]) if _repeats(docs) else kept
-
+    """One row of each near-duplicate class: that of the smallest doc_id (null last), of rows with one id the first.
 
-def _repeats(docs: DataFrame) -> bool:
-    """Whether a doc_id occurs twice."""
-    return bool(docs.groupBy("doc_id").count().where("count > 1").limit(1).count())
+    Rows are numbered and written once, as doc_ids may be missing or repeated.
+    """
+    rows = cut_lineage(docs.select(F.monotonically_increasing_id().alias("doc_id"), "text", _whole(docs)))
+    classes = simhash.near_duplicates(rows).select(F.col("doc_id"), "component_id")
+    order = F.struct(F.col("own.doc_id").isNull().alias("missing"), F.col("own.doc_id").alias("id"), F.col("doc_id").alias("row"))
+    first = rows.select("doc_id", order.alias("order")).join(classes, "doc_id").groupBy("component_id").agg(F.min("order").alias("order"))
+    return rows.join(first.select(F.col("order.row").alias("doc_id")), "doc_id", "left_semi").select("own.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,10 +45,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its rate says; those whose rate rounds to nothing go."""
-    rates = mixing.mixing_rates(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    copies = rates.select("doc_id", "copies").groupBy("doc_id").agg(F.first("copies").alias("_copies"))
-    taken = docs.join(copies.where("_copies > 0"), "doc_id")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    rates = mixing.mixing_rates(docs.select("doc_id", "text", _whole(docs)), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), "copies"))
+    return rates.where("copies > 0").select("own", copy.alias("copy")).select("own.*")
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -160,11 +160,15 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
     Works row by row on the scanned columns, so all columns of ``docs`` stay.
     Cutting spans removes the text from a span's first word to its last and
-    sets ``n_chars`` anew.  The test texts must fit ``PART_BYTES``.
+    sets ``n_chars`` anew; it asks for test texts of at most ``PART_BYTES``.
     """
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.coalesce(benchmark["text"].cast("string"), F.lit("")))
     if (benchmark.agg(F.sum(F.octet_length(benchmark["text"].cast("string")) + 16)).first()[0] or 0) > PART_BYTES:
-        raise ValueError("test texts beyond PART_BYTES: use contamination() and join its result")
+        if spans:
+            raise ValueError("test texts beyond PART_BYTES: cut spans part by part")
+        keyed = cut_lineage(docs.select(F.monotonically_increasing_id().alias("doc_id"), "text", F.struct(*docs.columns).alias("own")))
+        hit = contamination(keyed, benchmark, window).where(F.size("spans") > 0).select("doc_id")
+        return keyed.join(hit, "doc_id", "left_anti").select("own.*")
     sets = docs.sparkSession.sparkContext.broadcast(_item_windows([(r[0], r[1]) for r in items.collect()], window))
     at = docs.columns.index("text")
 

@@ -4,8 +4,8 @@ A classifier learns the domains of the labelled documents and gives every
 document its posterior p.  A document of t tokens taken at rate r adds r t p to
 the domains' expected token totals.  The rates minimise the squared distance of
 those totals from the targets, by projected gradient steps from rate 1; a step
-moves a document by its posterior times the residual, and rates below zero are
-set to zero.  Only the residual (one number per domain) goes to the driver.
+moves a document by its posterior times the residual, and rates are kept
+between 0 and MAX_RATE.  Only the residual (one number per domain) goes to the driver.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from .textruns import lower_table, row_of, row_slices, run_classes, run_hashes,
 DOMAINS = ("plain", "good", "toxic")
 #: shares of the tokens to come from each domain
 TARGETS = {"plain": 0.15, "good": 0.85, "toxic": 0.0}
+#: a document is taken this often at most
+MAX_RATE = 4.0
 FEATURE_BITS = 18
 #: standard errors by which a feature's rate in a domain must differ to count
 EVIDENCE = 5.0
@@ -148,14 +150,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 
 def posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The columns of ``docs`` without its text, and tokens and p (one posterior per domain, summing to 1), for every row.
+    """The columns of ``docs`` without its text and those this operator makes, and tokens and p (one posterior per domain, summing to 1), for every row.
 
     A text without words, or null, has 0 tokens and the posteriors of no
     feature.  Without any labelled row all domains are equally likely.
     """
     prior, weight = train(docs, labels)
     model = docs.sparkSession.sparkContext.broadcast((prior, weight.astype(np.float32)))
-    kept = [c for c in docs.columns if c not in ("text", "tokens", "p")]
+    kept = [c for c in docs.columns if c not in ("text", "tokens", "p", "rate", "copies")]
 
     def per_batch(batches):
         prior, weight = model.value
@@ -182,12 +184,12 @@ def _rates(p: np.ndarray, steps: Sequence[np.ndarray]) -> tuple[np.ndarray, np.n
     """Rates after the given gradient steps, and the point ahead of them at which the next step is taken.
 
     A step takes p times its vector off, and its last number's part of the
-    distance from 1, and stops at zero; the point ahead carries a growing part
+    distance from 1, and stops at 0 and ``MAX_RATE``; the point ahead carries a growing part
     of the last move on (Nesterov's rule).
     """
     rate = ahead = np.ones(len(p))
     for k, step in enumerate(steps):
-        new = np.maximum(ahead - p @ step[:-1] - step[-1] * (ahead - 1.0), 0.0)
+        new = np.clip(ahead - p @ step[:-1] - step[-1] * (ahead - 1.0), 0.0, MAX_RATE)
         ahead = new + k / (k + 3) * (new - rate)
         rate = new
     return rate, ahead
