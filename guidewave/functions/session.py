@@ -30,12 +30,14 @@ def local_session(cores: str = "*", app: str = "guidewave", **conf: str) -> Spar
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only where none is configured."""
+    """The shared folder that the cluster names; only a session on one machine may go without and gets a temporary one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY, None)
+    if not configured and not sc.master.split("[")[0] == "local":
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
 

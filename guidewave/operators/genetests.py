@@ -76,14 +76,18 @@ def de_counts(effects: DataFrame, key: str) -> DataFrame:
                                     F.avg(F.abs("log2fc")).alias("mean_abs_log2fc"), F.avg("log2fc").alias("mean_log2fc"))
 
 
+def rank_genes(effects: DataFrame, by: str = "t", absolute: bool = False) -> DataFrame:
+    """All genes of each target ranked by their (signed or absolute) score, ties by name."""
+    score = F.abs(by) if absolute else F.col(by)
+    return effects.withColumn("rank", F.row_number().over(W.partitionBy("target").orderBy(score.desc_nulls_last(), F.col("feature"))))
+
+
 def top_genes(effects: DataFrame, n: int = 100, by: str = "t", absolute: bool = False) -> DataFrame:
-    """Signature of each target: the n genes with the largest (signed or absolute) score.
+    """Signature of each target: the n genes with the largest score.
 
     Spark keeps at most n rows per target before the shuffle for this filter.
     """
-    score = F.abs(by) if absolute else F.col(by)
-    ranked = effects.withColumn("rank", F.row_number().over(W.partitionBy("target").orderBy(score.desc_nulls_last(), F.col("feature"))))
-    return ranked.where(F.col("rank") <= n)
+    return rank_genes(effects, by, absolute).where(F.col("rank") <= n)
 
 
 def response_panel(effects: DataFrame, alpha: float = 0.05, n: int = 100) -> DataFrame:

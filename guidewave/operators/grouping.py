@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.session import cut_lineage
 
+#: rounds of local moving before a smaller part of the nodes moves at once
+_ROUNDS_PER_PART = 8
 LINKAGES = ("average", "complete", "single", "weighted", "ward")
 
 
-def agglomerate(pairs: DataFrame, linkage: str = "average", max_rounds: int = 200) -> DataFrame:
+def agglomerate(pairs: DataFrame, linkage: str = "average") -> DataFrame:
     """Merge table (parent, child, height, round) of hierarchical clustering.
 
     ``pairs(a, b, distance)`` holds every pair of distinct items once, ids being
     strings.  Each round merges all reciprocal nearest neighbours at the same time
     (exact for these linkages up to ties) and updates the distances by joins; a
-    cluster is named after its smallest member.  Rounds are written out.
+    cluster is named after its smallest member.  Rounds are written out and go on
+    until one cluster is left: the smallest pair of least distance is always
+    reciprocal, so no round is in vain.
     """
     if linkage not in LINKAGES:
         raise ValueError(f"unknown linkage: {linkage}")
@@ -27,7 +33,7 @@ def agglomerate(pairs: DataFrame, linkage: str = "average", max_rounds: int = 20
     d = cut_lineage(d.unionByName(d.select(F.col("b").alias("a"), F.col("a").alias("b"), "d")))
     sizes = d.select("a").distinct().withColumn("n", F.lit(1.0))
     merges = spark.createDataFrame([], "parent string, child string, height double, round int")
-    for step in range(1, max_rounds + 1):
+    for step in itertools.count(1):
         nearest = d.groupBy("a").agg(F.min(F.struct("d", "b")).alias("_m")).select("a", F.col("_m.b").alias("b"), F.col("_m.d").alias("d"))
         back = nearest.select(F.col("b").alias("a"), F.col("a").alias("b"))
         mutual = cut_lineage(nearest.join(back, ["a", "b"], "left_semi").where("a < b"))
@@ -35,6 +41,8 @@ def agglomerate(pairs: DataFrame, linkage: str = "average", max_rounds: int = 20
         if mutual.isEmpty():
             break
         merges = merges.unionByName(mutual.select(F.col("a").alias("parent"), F.col("b").alias("child"), F.pow("d", 1.0 / power).alias("height"), F.lit(step).alias("round")))
+        if step % 16 == 0:  # the plan of a long chain stays short
+            merges = cut_lineage(merges)
         d, sizes = _merge_round(d, sizes, mutual, linkage)
     return cut_lineage(merges)
 
@@ -102,20 +110,22 @@ def default_module_count(n_items: int) -> int:
 
 # ---- communities
 
-def communities(edges: DataFrame, resolution: float = 1.0, max_levels: int = 4, max_rounds: int = 8, seed: int = 0) -> DataFrame:
+def communities(edges: DataFrame, resolution: float = 1.0, seed: int = 0) -> DataFrame:
     """Modularity communities (cell_id, cluster) of an undirected weighted graph; clusters numbered by size.
 
     Local moving in rounds: every node scores its neighbouring communities, and a
-    hash-chosen half of the nodes moves at once, which stops pairs from swapping
-    for ever.  When a level settles, communities become nodes of a smaller graph.
+    hash-chosen part of the nodes moves at once.  The part shrinks from a half as
+    rounds go on, so nodes that keep swapping come to move apart, and a level
+    ends when all parts have had their turn and none moved.  Then communities
+    become nodes of a smaller graph, until a level changes nothing.
     ``edges(src, dst, weight)`` may list an edge in one or both directions.
     """
     e = edges.where("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), "weight").groupBy("a", "b").agg(F.max("weight").alias("w"))
     graph = cut_lineage(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "w")))
     total = graph.agg(F.sum("w").alias("t")).first()["t"]
     label = cut_lineage(graph.select(F.col("a").alias("cell_id")).distinct().withColumn("node", F.col("cell_id")))
-    for _ in range(max_levels):
-        settled, changed = _local_moving(graph, resolution, total, max_rounds, seed)
+    while True:
+        settled, changed = _local_moving(graph, resolution, total, seed)
         if not changed:
             break
         label = cut_lineage(label.join(settled, "node").select("cell_id", F.col("com").alias("node")))
@@ -127,11 +137,12 @@ def communities(edges: DataFrame, resolution: float = 1.0, max_levels: int = 4,
     return label.join(numbered, "node").select("cell_id", "cluster")
 
 
-def _local_moving(graph: DataFrame, resolution: float, total: float, max_rounds: int, seed: int) -> tuple[DataFrame, bool]:
+def _local_moving(graph: DataFrame, resolution: float, total: float, seed: int) -> tuple[DataFrame, bool]:
     degree = cut_lineage(graph.groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("k")))
     com = degree.select("node", F.col("node").alias("com"))
     changed, idle = False, 0
-    for step in range(2 * max_rounds):
+    parts = 2
+    for step in itertools.count():
         mass = degree.join(com, "node").groupBy("com").agg(F.sum("k").alias("mass"))
         links = graph.where("a <> b").join(com.select(F.col("node").alias("b"), F.col("com").alias("near")), "b").groupBy(F.col("a").alias("node"), F.col("near").alias("com2")).agg(F.sum("w").alias("to"))
         stay = com.select("node", F.col("com").alias("com2"), F.lit(0.0).alias("to"))
@@ -140,16 +151,17 @@ def _local_moving(graph: DataFrame, resolution: float, total: float, max_rounds:
         rest = F.col("mass") - F.when(own, F.col("k")).otherwise(0.0)
         gain = F.round(F.col("to") - F.lit(resolution) * F.col("k") * rest / F.lit(float(total)), 9)
         best = options.withColumn("g", gain).groupBy("node", "com").agg(F.max(F.struct("g", own.cast("int").alias("o"), F.col("com2"))).alias("_b"))
-        turn = F.pmod(F.xxhash64(F.col("node"), F.lit(seed)), F.lit(2)) == step % 2
+        turn = F.pmod(F.xxhash64(F.col("node"), F.lit(seed + parts)), F.lit(parts)) == step % parts
         moved = cut_lineage(best.select("node", F.when(turn, F.col("_b.com2")).otherwise(F.col("com")).alias("com"), (turn & (F.col("_b.com2") != F.col("com"))).alias("_m")))
         com = moved.select("node", "com")
         if moved.where("_m").isEmpty():
             idle += 1
-            if idle == 2:
-                break
+            if idle == parts:
+                return com, changed
         else:
             changed, idle = True, 0
-    return com, changed
+            if step % _ROUNDS_PER_PART == _ROUNDS_PER_PART - 1:
+                parts += 1
 
 
 def modularity(edges: DataFrame, clusters: DataFrame, resolution: float = 1.0) -> DataFrame:

@@ -25,9 +25,17 @@ def parse_target(guide: Column, pattern: str | None, table: Mapping[str, str] |
     return F.coalesce(_lookup(table, guide), target_from_guide(guide, pattern))
 
 
-def annotate_guides(guides: DataFrame, pattern: str | None, classes: Mapping[str, Sequence[str]], table: Mapping[str, str] | None = None) -> DataFrame:
-    """Guide dimension table with ``target`` and ``control_class`` ('' for targeting guides)."""
-    out = guides.withColumn("target", parse_target(F.col("guide"), pattern, table))
+def annotate_guides(guides: DataFrame, pattern: str | None, classes: Mapping[str, Sequence[str]], table: Mapping[str, str] | DataFrame | None = None) -> DataFrame:
+    """Guide dimension table with ``target`` and ``control_class`` ('' for targeting guides).
+
+    ``table`` gives explicit targets, as a dictionary or, at any size, as a
+    DataFrame (entry, mapped) that is joined.
+    """
+    if isinstance(table, DataFrame):
+        found = guides.join(table, F.col("guide") == F.col("entry"), "left")
+        out = found.withColumn("target", F.coalesce("mapped", target_from_guide(F.col("guide"), pattern))).drop("entry", "mapped")
+    else:
+        out = guides.withColumn("target", parse_target(F.col("guide"), pattern, table))
     cls = control_class_of(F.col("target"), classes)
     return out.withColumn("control_class", F.when(cls == "targeting", "").otherwise(cls)).withColumn("is_control", cls != "targeting")
 

@@ -1,9 +1,10 @@
-"""Exact k-nearest-neighbour join without a cross join.
+"""Exact k-nearest-neighbour join in two passes, without a cross join.
 
-Points are assigned to a bounded set of pivots.  Triangle-inequality bounds give
-every pivot cell a radius within which all its neighbours must lie; each point is
-routed only to the cells it can matter to, and cells larger than a block are cut
-into block pairs, so one dense cell spreads over many tasks.
+Points are assigned to pivots, whose number grows with the square root of the
+table.  The first pass finds the k nearest points inside a point's own cell; the
+k-th of them is a radius within which its true neighbours lie.  The second pass
+sends each point only to the other cells that this radius reaches.  Cells larger
+than a block are cut into block pairs, so one dense cell spreads over many tasks.
 """
 
 from __future__ import annotations
@@ -18,12 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-#: points per pivot cell aimed at, and the largest number of pivots
-CELL_SIZE, MAX_PIVOTS = 4096, 1024
+from ..functions.session import cut_lineage
+
+#: points per pivot cell aimed at
+CELL_SIZE = 4096
 #: block sizes of one distance task
-QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 8192
-#: candidates kept beyond k before distances are recomputed without cancellation
-_SPARE = 16
+QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 4096
+#: numbers in the differences computed at a time
+_EXACT_AT_ONCE = 4_000_000
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -44,21 +47,65 @@ def _stack(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
-def knn(points: DataFrame, k: int, cell_size: int = CELL_SIZE, query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
-    """``knn(src, dst, dist, rank)``: the k nearest other points of every point (ties by id).
+def _nearest_in_block(a: np.ndarray, names_a: np.ndarray, b: np.ndarray, names_b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and distance of the k nearest columns of each row, ties by column name, a row's own name left out.
 
-    ``points(cell_id, vec ARRAY<DOUBLE>)`` with one row per point.
+    The quick distances only choose candidates: whatever may lie at or below the
+    k-th one, allowing for their rounding, is measured again by differences.
     """
-    points = points.select("cell_id", "vec")
-    n = points.count()
-    k = min(k, n - 1)
-    if k < 1:
-        raise ValueError("at least two points and one neighbour are needed")
-    n_pivots = max(1, min(MAX_PIVOTS, math.ceil(n / cell_size)))
+    size = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :]
+    quick = size - 2.0 * (a @ b.T)
+    slack = 1e-11 * (size + 1.0)
+    quick[names_a[:, None] == names_b[None, :]] = np.inf
+    take = min(k, quick.shape[1]) - 1
+    limit = np.partition(quick + slack, take, axis=1)[:, take : take + 1]
+    rows, cols = np.nonzero((quick - slack <= limit) & np.isfinite(quick))
+    exact, step = np.empty(len(rows)), max(1, _EXACT_AT_ONCE // max(1, a.shape[1]))
+    for at in range(0, len(rows), step):
+        part = slice(at, at + step)
+        exact[part] = np.sqrt(((a[rows[part]] - b[cols[part]]) ** 2).sum(1))
+    order = np.lexsort((names_b[cols], exact, rows))
+    rows, cols, exact = rows[order], cols[order], exact[order]
+    first = np.searchsorted(rows, np.arange(len(a)))
+    keep = (np.arange(len(rows)) - first[rows]) < k
+    return rows[keep], cols[keep], exact[keep]
+
+
+def _cell_join(queries: DataFrame, members: DataFrame, k: int, query_block: int, candidate_block: int) -> DataFrame:
+    """(src, dst, dist): for every (cell, point) of ``queries`` at least the k nearest ``members`` of the cell, ties by id."""
+    # one row per cell
+    loads = (queries.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / query_block).cast("int").alias("q_blocks"))
+             .join(members.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / candidate_block).cast("int").alias("c_blocks")), "cell"))
+
+    def salted(df: DataFrame, own: str, other: str) -> DataFrame:
+        placed = df.join(loads, "cell").withColumn(own, F.pmod(F.xxhash64("cell_id"), F.col(f"{own}_blocks")).cast("int"))
+        return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))).select("cell", "q", "c", "cell_id", "vec")
+
+    left, right = salted(queries, "q", "c"), salted(members, "c", "q")
+    right = right.select(*[F.col(x).alias(f"r_{x}") for x in ("cell", "q", "c", "cell_id", "vec")])
+    id_type = queries.schema["cell_id"].dataType
+    schema = T.StructType([T.StructField("src", id_type), T.StructField("dst", id_type), T.StructField("dist", T.DoubleType())])
+
+    def block_pair(x: pa.Table, y: pa.Table) -> pa.Table:
+        ids_x, ids_y = x.column("cell_id").combine_chunks(), y.column("r_cell_id").combine_chunks()
+        if not x.num_rows or not y.num_rows:
+            return pa.table({"src": ids_x.slice(0, 0), "dst": ids_y.slice(0, 0), "dist": pa.array([], pa.float64())})
+        rows, cols, dist = _nearest_in_block(_matrix(x.column("vec")), np.asarray(ids_x.to_pandas()), _matrix(y.column("r_vec")), np.asarray(ids_y.to_pandas()), k)
+        return pa.table({"src": ids_x.take(pa.array(rows)), "dst": ids_y.take(pa.array(cols)), "dist": pa.array(dist)})
+
+    return left.groupBy("cell", "q", "c").cogroup(right.groupBy("r_cell", "r_q", "r_c")).applyInArrow(block_pair, schema)
+
+
+def _top(pairs: DataFrame, k: int) -> DataFrame:
+    # each source has at most k rows per candidate block
+    return pairs.withColumn("rank", F.row_number().over(W.partitionBy("src").orderBy("dist", "dst"))).where(F.col("rank") <= k)
+
+
+def place(points: DataFrame, n: int, cell_size: int = CELL_SIZE) -> tuple[DataFrame, np.ndarray]:
+    """(cell_id, vec, cell, reach) and the pivots: the points of least digest, at most the square root of their number."""
+    n_pivots = max(1, min(math.ceil(n / cell_size), math.ceil(math.sqrt(n))))
     digest = F.sha2(F.col("cell_id").cast("string"), 256)
-    # a bounded sample: at most MAX_PIVOTS vectors
     pivots = _stack(pd.Series([r["vec"] for r in points.select("vec", digest.alias("_h")).orderBy("_h").limit(n_pivots).collect()]))
-    between = _distances(pivots, pivots)
 
     @F.pandas_udf("struct<cell int, reach double>")
     def nearest(vec: pd.Series) -> pd.DataFrame:
@@ -67,65 +114,43 @@ def knn(points: DataFrame, k: int, cell_size: int = CELL_SIZE, query_block: int
         return pd.DataFrame({"cell": best.astype("int32"), "reach": d[np.arange(len(best)), best]})
 
     placed = points.withColumn("_p", nearest("vec")).select("cell_id", "vec", F.col("_p.cell").alias("cell"), F.col("_p.reach").alias("reach"))
-    sizes = {r["cell"]: (r["n"], r["r"]) for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("r")).collect()}
-    near = W.partitionBy("cell").orderBy("reach")
-    heads = placed.select("cell", "reach").withColumn("_k", F.row_number().over(near)).where(F.col("_k") <= k + 1)  # bounded: pivots x (k + 1)
-    head_rows = heads.select("cell", "reach").toPandas()
-    radius = np.array([sizes.get(i, (0, 0.0))[1] for i in range(n_pivots)])
-    limit = np.zeros(n_pivots)
-    for i in range(n_pivots):
-        upper = np.sort(radius[i] + between[i, head_rows["cell"].to_numpy()] + head_rows["reach"].to_numpy())
-        limit[i] = upper[k] if len(upper) > k else np.inf
-    occupied = np.array([i in sizes for i in range(n_pivots)])
-    slack = 1e-9 * (1.0 + between.max())
+    return placed, pivots
+
+
+def route(placed: DataFrame, inside: DataFrame, pivots: np.ndarray, k: int) -> DataFrame:
+    """(cell_id, vec, cell): each point once for every other cell that may hold a nearer point than its k-th one in ``inside``."""
+    reach = {r["cell"]: r["r"] for r in placed.groupBy("cell").agg(F.max("reach").alias("r")).collect()}  # one row per pivot
+    radius = np.array([reach.get(i, -np.inf) for i in range(len(pivots))])
+    slack = 1e-7 * (1.0 + float(np.abs(pivots).max(initial=0.0)) * math.sqrt(pivots.shape[1]))
 
     @F.pandas_udf("array<int>")
-    def matters_to(vec: pd.Series) -> pd.Series:
-        d = _distances(_stack(vec), pivots)
-        hit = (d - radius[None, :] <= limit[None, :] + slack) & occupied[None, :]
+    def reached(vec: pd.Series, cell: pd.Series, limit: pd.Series) -> pd.Series:
+        hit = _distances(_stack(vec), pivots) - radius[None, :] <= limit.to_numpy()[:, None] + slack
+        hit[np.arange(len(cell)), cell.to_numpy()] = False
         return pd.Series([np.flatnonzero(row).astype("int32") for row in hit])
 
-    routed = points.select("cell_id", "vec", F.explode(matters_to("vec")).alias("cell"))
-    loads = {r["cell"]: r["n"] for r in routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = [(i, math.ceil(sizes[i][0] / query_block), math.ceil(loads[i] / candidate_block)) for i in sizes]
-    blocks = points.sparkSession.createDataFrame(plan, "cell int, q_blocks int, c_blocks int")  # one row per pivot
+    found = inside.groupBy("src").agg(F.when(F.count(F.lit(1)) == k, F.max("dist")).alias("limit"))
+    limited = placed.join(found, F.col("cell_id") == F.col("src"), "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
+    return limited.select("cell_id", "vec", F.explode(reached("vec", "cell", "limit")).alias("cell"))
 
-    def salted(df: DataFrame, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
-        salted_df = df.join(F.broadcast(blocks), "cell").withColumn(own, F.pmod(F.xxhash64("cell_id"), F.col(own_n)).cast("int"))
-        return salted_df.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1))).select("cell", "q", "c", "cell_id", "vec")
 
-    queries = salted(placed, "q", "q_blocks", "c", "c_blocks")
-    candidates = salted(routed, "c", "c_blocks", "q", "q_blocks")
-    candidates = candidates.select(*[F.col(x).alias(f"r_{x}") for x in ("cell", "q", "c", "cell_id", "vec")])
-    id_type = points.schema["cell_id"].dataType
-    schema = T.StructType([T.StructField("src", id_type), T.StructField("dst", id_type), T.StructField("dist", T.DoubleType())])
+def knn(points: DataFrame, k: int, cell_size: int = CELL_SIZE, query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
+    """``knn(src, dst, dist, rank)``: the k nearest other points of every point (ties by id).
 
-    def block_pair(left: pa.Table, right: pa.Table) -> pa.Table:
-        a, b = (_matrix(t.column(name)) if t.num_rows else np.zeros((0, 0)) for t, name in ((left, "vec"), (right, "r_vec")))
-        ids_a, ids_b = left.column("cell_id").combine_chunks(), right.column("r_cell_id").combine_chunks()
-        if not len(a) or not len(b):
-            empty = ids_a.slice(0, 0)
-            return pa.table({"src": empty, "dst": empty, "dist": pa.array([], pa.float64())})
-        names_a, names_b = np.asarray(ids_a.to_pandas()), np.asarray(ids_b.to_pandas())
-        d = _distances(a, b)
-        d[names_a[:, None] == names_b[None, :]] = np.inf
-        take = min(k + _SPARE, d.shape[1])
-        cols = np.argpartition(d, take - 1, axis=1)[:, :take]
-        rows = np.repeat(np.arange(len(a)), take)
-        cols = cols.ravel()
-        alive = names_a[rows] != names_b[cols]
-        rows, cols = rows[alive], cols[alive]
-        exact = np.sqrt(((a[rows] - b[cols]) ** 2).sum(1))
-        order = np.lexsort((names_b[cols], exact, rows))
-        rows, cols, exact = rows[order], cols[order], exact[order]
-        first = np.searchsorted(rows, np.arange(len(a)))
-        keep = (np.arange(len(rows)) - first[rows]) < k
-        return pa.table({"src": ids_a.take(pa.array(rows[keep])), "dst": ids_b.take(pa.array(cols[keep])), "dist": pa.array(exact[keep])})
-
-    pairs = queries.groupBy("cell", "q", "c").cogroup(candidates.groupBy("r_cell", "r_q", "r_c")).applyInArrow(block_pair, schema)
-    # each source has at most k rows per candidate block
-    order = W.partitionBy("src").orderBy("dist", "dst")
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ``points(cell_id, vec ARRAY<DOUBLE>)`` with one row per point.
+    """
+    points = points.select("cell_id", "vec")
+    n = points.count()
+    k = min(k, n - 1)
+    if k < 1:
+        raise ValueError("at least two points and one neighbour are needed")
+    placed, pivots = place(points, n, cell_size)
+    inside = _top(_cell_join(placed.select("cell", "cell_id", "vec"), placed.select("cell", "cell_id", "vec"), k, query_block, candidate_block), k)
+    if len(pivots) == 1:
+        return inside
+    inside = cut_lineage(inside.select("src", "dst", "dist"))
+    outside = _cell_join(route(placed, inside, pivots, k), placed.select("cell", "cell_id", "vec"), k, query_block, candidate_block)
+    return _top(inside.unionByName(outside), k)
 
 
 def knn_overlap(first: DataFrame, second: DataFrame, k: int, n_cells: int) -> DataFrame:

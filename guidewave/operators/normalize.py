@@ -33,23 +33,18 @@ def normalize_total(expr: DataFrame, target_sum: float | None = 1e4, value: str
     return out.withColumn("lognorm", F.log1p(scaled) if log else scaled).drop("_target")
 
 
-def sample_cells(cells: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """The ``n`` cells with the smallest digests: independent of partitioning."""
-    digest = F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col("cell_id").cast("string")), 256)
-    return cells.select("cell_id", digest.alias("_h")).distinct().orderBy("_h").limit(n).select("cell_id")
-
-
-def detect_value_state(expr: DataFrame, value: str = "count", n_cells: int = 2000, seed: int = 0) -> DataFrame:
-    """One row (state, is_integer, min, max, log_scale) judged on a fixed sample of cells."""
-    seen = expr.join(sample_cells(expr, n_cells, seed), "cell_id", "left_semi").where(F.col(value) != 0)
+def detect_value_state(expr: DataFrame, value: str = "count") -> DataFrame:
+    """One row (state, is_integer, min, max, log_scale) judged on all cells."""
+    seen = expr.where(F.col(value) != 0)
     x = F.col(value).cast("double")
     per_cell = seen.groupBy("cell_id").agg(
         F.min(x).alias("lo"), F.max(x).alias("hi"), F.count_if(F.abs(x - F.rint(x)) > 1e-6).alias("bad"),
         F.sum(F.expm1(F.least(x, F.lit(700.0)))).alias("e"), F.sum(x).alias("s"))
     pos_e, pos_s = F.when(F.col("e") > 0, F.col("e")), F.when(F.col("s") > 0, F.col("s"))
-    # at most n_cells rows reach this aggregate
     stats = per_cell.agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("min"), F.max("hi").alias("max"), F.sum("bad").alias("bad"),
-                         ratio(F.stddev_pop(pos_e), F.avg(pos_e)).alias("cv_e"), ratio(F.stddev_pop(pos_s), F.avg(pos_s)).alias("cv_s"), F.median(pos_e).alias("scale"))
+                         ratio(F.stddev_pop(pos_e), F.avg(pos_e)).alias("cv_e"), ratio(F.stddev_pop(pos_s), F.avg(pos_s)).alias("cv_s"))
+    scale = exact_quantiles(per_cell.select(pos_e.alias("_v")).where("_v IS NOT NULL"), [], "_v", {"scale": 0.5})
+    stats = stats.join(F.broadcast(scale), F.lit(True), "left")  # at most one row
     integer = F.coalesce(F.col("bad"), F.lit(0)) == 0
     logged = F.col("cv_e") < 0.01
     state = (F.when(F.col("n") == 0, "uncertain").when(F.col("min") < 0, "normalized").when(integer, "raw_counts").when(logged, "log_normalized")

@@ -40,9 +40,11 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return out.select("column", "n_rows", "n_unique", "n_empty", "is_numeric", *[F.when(F.col("is_numeric"), F.col(f"_{c}")).alias(c) for c in ("min", "mean", "max")])
 
 
-def level_counts(df: DataFrame, columns: Sequence[str], max_levels: int = 30) -> DataFrame:
-    """Counts per value of the columns with at most ``max_levels`` values (others are reported by their profile)."""
+def level_counts(df: DataFrame, columns: Sequence[str], max_levels: int | None = None) -> DataFrame:
+    """Counts per value of the columns, or only of those with at most ``max_levels`` values."""
     counts = _stack(df, columns).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    if max_levels is None:
+        return counts.select("column", F.col("v").alias("level"), "n")
     few = counts.groupBy("column").agg(F.count(F.lit(1)).alias("_l")).where(F.col("_l") <= max_levels)
     return counts.join(few.select("column"), "column", "left_semi").select("column", F.col("v").alias("level"), "n")
 

@@ -157,11 +157,12 @@ def above_isotype(counts: DataFrame, panel: DataFrame, cells: DataFrame, isotype
     return out.withColumn("background_dominated", F.col("frac_cells_above_isotype") < min_fraction).drop("_above", "n_cells")
 
 
-def qc_summary(cells: DataFrame, group: str | None, metrics: Mapping[str, str], max_levels: int = 50) -> DataFrame:
+def qc_summary(cells: DataFrame, group: str | None, metrics: Mapping[str, str], max_levels: int | None = None) -> DataFrame:
     """Medians per level of ``group`` plus an ALL row, rounded to two decimals.
 
     A level may hold most of the cells, so each median is the exact distributed
-    quantile; metrics are stacked to share one pass.
+    quantile; metrics are stacked to share one pass.  With ``max_levels`` a
+    grouping of more levels gives its ALL row only.
     """
     stacked = F.explode(F.array(*[F.struct(F.lit(out).alias("metric"), F.col(src).cast("double").alias("v")) for src, out in metrics.items()]))
     level = F.col(group).cast("string") if group else F.lit("ALL")
@@ -171,7 +172,7 @@ def qc_summary(cells: DataFrame, group: str | None, metrics: Mapping[str, str],
     wide = medians.groupBy("group").agg(*[F.round(F.max(F.when(F.col("metric") == out, F.col("median"))), 2).alias(out) for out in metrics.values()])
     sizes = cells.select(both.alias("group")).groupBy("group").agg(F.count(F.lit(1)).alias("n_cells"))
     out = sizes.join(wide, "group", "left")
-    if not group:
+    if not group or max_levels is None:
         return out
     levels = sizes.where("group <> 'ALL'").agg(F.count(F.lit(1)).alias("_levels"))
     return out.crossJoin(F.broadcast(levels)).where((F.col("group") == "ALL") | (F.col("_levels") <= max_levels)).drop("_levels")

@@ -59,8 +59,7 @@ def win_06(spark, sf):
 
 _STATE = """SELECT '{k}' AS source, CASE WHEN bad = 0 THEN 'raw_counts' WHEN cv_e < 0.01 THEN 'log_normalized' WHEN cv_s < 0.01 OR hi < 30 THEN 'normalized' ELSE 'uncertain' END AS state, bad = 0 AS is_integer, round(lo, 6) AS min, round(hi, 6) AS max,
     CASE WHEN bad > 0 AND cv_e < 0.01 THEN round(scale, 3) END AS log_scale FROM (SELECT min(lo) AS lo, max(hi) AS hi, sum(bad) AS bad, stddev_pop(e) / avg(e) AS cv_e, stddev_pop(s) / avg(s) AS cv_s, quantile_cont(e, 0.5) AS scale
-    FROM (SELECT cell_id, min({v}) AS lo, max({v}) AS hi, count(*) FILTER (abs({v} - round({v})) > 1e-6) AS bad, sum(exp(least({v}, 700.0)) - 1) AS e, sum({v}) AS s FROM lognorm
-    WHERE cell_id IN (SELECT cell_id FROM (SELECT DISTINCT cell_id FROM expr) ORDER BY sha256('0|' || cell_id) LIMIT 2000) GROUP BY 1))"""
+    FROM (SELECT cell_id, min({v}) AS lo, max({v}) AS hi, count(*) FILTER (abs({v} - round({v})) > 1e-6) AS bad, sum(exp(least({v}, 700.0)) - 1) AS e, sum({v}) AS s FROM lognorm WHERE {v} <> 0 GROUP BY 1))"""
 
 
 @register("rel_13_value_state", " UNION ALL ".join([_STATE.format(k="counts", v="CAST(count AS DOUBLE)"), _STATE.format(k="lognorm", v="v")]))
@@ -206,7 +205,7 @@ def join_10(spark, sf):
 
 @register("stat_27_gene_ranking", f"SELECT target, feature, {R6('t')} AS t, rank FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY t DESC, feature) AS rank FROM gene_t)")
 def stat_27(spark, sf):
-    ranked = GT.top_genes(effects(spark, sf, False), 1_000_000)
+    ranked = GT.rank_genes(effects(spark, sf, False))
     return _round(ranked.select("target", "feature", "t", F.col("rank").cast("bigint").alias("rank")), "t")
 
 

@@ -195,7 +195,7 @@ def src_19(spark, sf):
     from ..operators.labels import annotate_guides
 
     table = S.guide_library(spark, sf).where("target = 'Brand#1'").select("guide", F.lit("mapped").alias("target"))
-    lib = annotate_guides(S.guide_library(spark, sf).select("guide", "pos"), S.GUIDE_PATTERN, S.CONTROL_CLASSES, BU.map_table(table, "guide", "target"))
+    lib = annotate_guides(S.guide_library(spark, sf).select("guide", "pos"), S.GUIDE_PATTERN, S.CONTROL_CLASSES, BU.map_entries(table, "guide", "target"))
     return lib.select("guide", "target")
 
 

@@ -126,12 +126,8 @@ def load_inputs(matrices: Mapping[str, DataFrame], combined: tuple[DataFrame, Da
     return ScreenInputs(found, features, assignments, metadata, lanes, origin)
 
 
-def map_table(df: DataFrame, key: str, value: str) -> dict[str, str]:
-    """A guide-to-target or antibody map as a dictionary; its size is that of the library and is checked."""
-    rows = df.select(key, value).limit(100_001).collect()
-    if len(rows) > 100_000:
-        raise InputError("a map table of this size should be joined instead")
-    out = {r[0]: r[1] for r in rows}
-    if len(out) != len(rows):
-        raise InputError(f"{key} is repeated in the map table")
-    return out
+def map_entries(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(entry, mapped) of a guide-to-target or antibody map, of any size; a key that is listed twice is an error when it is read."""
+    entries = df.groupBy(F.col(key).alias("entry")).agg(F.first(value).alias("mapped"), F.count(F.lit(1)).alias("_times"))
+    twice = F.raise_error(F.concat(F.lit(f"{key} is repeated in the map table: "), F.col("entry").cast("string")))
+    return entries.select("entry", F.when(F.col("_times") == 1, F.col("mapped")).otherwise(twice).alias("mapped"))

@@ -13,28 +13,25 @@ from guidewave.operators import knockdown as K
 from guidewave.operators import ranktests as R
 
 
-def screen(seed=3):
-    """Designed knockdowns over Poisson counts: KD1 and KD2 fall, NULL stays, UP rises, three targets are untestable."""
+#: cells and mean count of the target's own gene; None: the gene is not measured
+TARGETS = {"strong": (64, 0.3), "mild": (48, 1.4), "flat": (52, 4.0), "risen": (45, 11.0), "offpanel": (24, None), "mute": (22, 0.0), "scant": (6, 0.3)}
+N_CONTROL, N_DOUBLE, USUAL = 150, 20, 4.0
+
+
+def screen(seed=11):
+    """A screen of designed knockdowns: one table of genes x cells drawn at once, its rates set per target."""
     rng = np.random.default_rng(seed)
-    plan = {"KD1": (80, 0.2), "KD2": (60, 1.0), "NULL": (70, 3.0), "UP": (60, 9.0), "ABSENT": (40, None), "SILENT": (40, 0.0), "RARE": (5, 0.2)}
-    cells, expr = [], []
-    genes = ["KD1", "KD2", "NULL", "UP", "SILENT", "RARE"] + [f"g{i}" for i in range(8)]
-
-    def add(cell, target, klass, cclass):
-        cells.append((cell, target, klass, cclass))
-        for g in genes:
-            lam = 0.0 if g == "SILENT" else (plan[target][1] if target == g and plan[target][1] is not None else 3.0)
-            v = rng.poisson(lam)
-            if v:
-                expr.append((cell, g, math.log1p(float(v))))
-
-    for i in range(200):
-        add(f"n{i}", "NT", "single_control", "non_targeting")
-    for i in range(30):
-        add(f"a{i}", "", "ambiguous", "")
-    for t, (n, _) in plan.items():
-        for i in range(n):
-            add(f"{t}{i}", t, "single_targeting", "")
+    labels = [("ctrl", "single_control", "non_targeting")] * N_CONTROL + [("", "ambiguous", "")] * N_DOUBLE
+    labels += [(t, "single_targeting", "") for t, (n, _) in TARGETS.items() for _ in range(n)]
+    genes = [t for t in TARGETS if t != "offpanel"] + [f"other{i}" for i in range(9)]
+    rate = np.full((len(labels), len(genes)), USUAL)
+    for j, g in enumerate(genes):
+        if g in TARGETS:
+            rate[[k for k, label in enumerate(labels) if label[0] == g], j] = TARGETS[g][1]
+    rate[:, genes.index("mute")] = 0.0
+    counts = rng.poisson(rate)
+    cells = [(f"c{k:03d}", *label) for k, label in enumerate(labels)]
+    expr = [(cells[k][0], genes[j], float(np.log1p(counts[k, j]))) for k, j in zip(*np.nonzero(counts))]
     return cells, expr, genes
 
 
@@ -48,16 +45,17 @@ def tables(spark):
 def test_perturbation_strength(tables):
     cells, expr, features, raw_cells, raw_expr = tables
     table = {r["target"]: r for r in K.perturbation_strength(cells, expr, features, ["non_targeting"]).collect()}
-    assert set(table) == {"KD1", "KD2", "NULL", "UP"}
-    assert {t for t, r in table.items() if r["is_hit_ntc"]} == {"KD1", "KD2"}
-    assert table["KD1"]["rank"] == 1 and table["KD1"]["n_control_other"] == 355 - 80
+    assert set(table) == {"strong", "mild", "flat", "risen"}
+    assert {t for t, r in table.items() if r["is_hit_ntc"]} == {"strong", "mild"}
+    perturbed = sum(n for n, _ in TARGETS.values())
+    assert table["strong"]["rank"] == 1 and table["strong"]["n_control_other"] == perturbed - TARGETS["strong"][0]
     value = {(c, g): v for c, g, v in raw_expr}
-    own = np.array([value.get((c, "KD2"), 0.0) for c, t, k, _ in raw_cells if t == "KD2"])
-    ctrl = np.array([value.get((c, "KD2"), 0.0) for c, t, k, _ in raw_cells if k == "single_control"])
-    assert table["KD2"]["log2fc_ntc"] == pytest.approx(math.log2((np.expm1(own).mean() + 0.01) / (np.expm1(ctrl).mean() + 0.01)))
+    own = np.array([value.get((c, "mild"), 0.0) for c, t, k, _ in raw_cells if t == "mild"])
+    ctrl = np.array([value.get((c, "mild"), 0.0) for c, t, k, _ in raw_cells if k == "single_control"])
+    assert table["mild"]["log2fc_ntc"] == pytest.approx(math.log2((np.expm1(own).mean() + 0.01) / (np.expm1(ctrl).mean() + 0.01)))
     grid = np.unique(np.concatenate([own, ctrl]))
     d = max(abs((own <= x).mean() - (ctrl <= x).mean()) for x in grid)
-    assert table["KD2"]["ks_stat_ntc"] == pytest.approx(d)
+    assert table["mild"]["ks_stat_ntc"] == pytest.approx(d)
 
 
 def test_skip_reasons(tables):
@@ -65,9 +63,9 @@ def test_skip_reasons(tables):
     targets = K.target_genes(K.target_sizes(cells, ["non_targeting"]))
     counts = K.own_gene_counts(cells, expr, targets, ["non_targeting"])
     reasons = {r["target"]: r["reason"] for r in K.eligibility(targets, K.knockdown_effect(counts), features).collect()}
-    assert reasons["ABSENT"] == "target gene not present in the expression matrix"
-    assert reasons["RARE"] == "fewer than 10 perturbed cells"
-    assert reasons["SILENT"].startswith("not detectably expressed") and reasons["KD1"] is None
+    assert reasons["offpanel"] == "target gene not present in the expression matrix"
+    assert reasons["scant"] == "fewer than 10 perturbed cells"
+    assert reasons["mute"].startswith("not detectably expressed") and reasons["strong"] is None
 
 
 def test_excluded_cells_change_nothing(tables):
@@ -80,21 +78,21 @@ def test_excluded_cells_change_nothing(tables):
 
 def test_cluster_markers(tables):
     cells, expr, features, raw_cells, raw_expr = tables
-    clusters = cells.select("cell_id", F.when(F.col("target") == "UP", "1").otherwise("0").alias("cluster"))
+    clusters = cells.select("cell_id", F.when(F.col("target") == "risen", "1").otherwise("0").alias("cluster"))
     for method in ("wilcoxon", "t-test", "t-test_overestim_var"):
         markers = GT.cluster_markers(clusters, expr, features, method)
         best = markers.where("cluster = '1'").orderBy(F.col("score").desc()).first()
-        assert best["feature"] == "UP" and best["logfoldchange"] > 0
-    score = markers = GT.cluster_markers(clusters, expr, features).where("cluster = '1' AND feature = 'g0'").first()["score"]
+        assert best["feature"] == "risen" and best["logfoldchange"] > 0
+    score = markers = GT.cluster_markers(clusters, expr, features).where("cluster = '1' AND feature = 'other0'").first()["score"]
     value = {(c, g): v for c, g, v in raw_expr}
-    x = np.array([value.get((c[0], "g0"), 0.0) for c in raw_cells])
-    mask = np.array([c[1] == "UP" for c in raw_cells])
+    x = np.array([value.get((c[0], "other0"), 0.0) for c in raw_cells])
+    mask = np.array([c[1] == "risen" for c in raw_cells])
     ranks = np.array([(np.sum(x < v) + (np.sum(x == v) + 1) / 2) for v in x])
     n, m = mask.sum(), (~mask).sum()
     want = (ranks[mask].sum() - n * (n + m + 1) / 2) / math.sqrt(n * m * (n + m + 1) / 12)
     assert score == pytest.approx(want)
     panel = GT.marker_panel(GT.cluster_markers(clusters, expr, features), 3)
-    assert "UP" in {r["feature"] for r in panel.collect()}
+    assert "risen" in {r["feature"] for r in panel.collect()}
 
 
 def enrichment_cells(spark):

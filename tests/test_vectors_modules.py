@@ -37,6 +37,26 @@ def test_knn_is_exact_with_small_blocks_and_a_hot_cell(spark, cell_size, q, c):
     assert all([table[i][k] for k in range(1, 7)] == want[i] for i in range(280))
 
 
+@pytest.mark.parametrize("cell_size,q,c", [(4096, 2048, 4096), (40, 25, 60), (400, 64, 32)])
+def test_knn_orders_ties_by_id(spark, cell_size, q, c):
+    rng = np.random.default_rng(1)
+    x = np.vstack([np.repeat(rng.normal(0, 1, (1, 8)), 210, axis=0), rng.normal(0, 1, (190, 8))])[rng.permutation(400)]
+    table = {}
+    for r in KN.knn(points(spark, x), 3, cell_size, q, c).collect():
+        table.setdefault(int(r["src"][1:]), {})[r["rank"]] = int(r["dst"][1:])
+    assert {i: [t[k] for k in (1, 2, 3)] for i, t in table.items()} == brute_knn(x, 3)
+
+
+def test_knn_routes_few_copies_between_clusters(spark):
+    rng = np.random.default_rng(2)
+    x = np.vstack([rng.normal(20 * i, 1, (60, 3)) for i in range(8)])
+    placed, pivots = KN.place(points(spark, x), len(x), 30)
+    own = placed.select("cell", "cell_id", "vec")
+    inside = KN._top(KN._cell_join(own, own, 4, 64, 64), 4)
+    copies = KN.route(placed, inside, pivots, 4).count()
+    assert len(pivots) == 16 and copies < 4 * len(x)
+
+
 def grouped(spark, shift=4.0, seed=1):
     rng = np.random.default_rng(seed)
     rows = []
@@ -159,11 +179,18 @@ def test_agglomeration_matches_greedy_merging(spark, linkage):
     assert [labels[f"i{i:02d}"] for i in range(12)] == ["M1"] * 4 + ["M2"] * 4 + ["M3"] * 4
 
 
+def test_agglomeration_goes_on_to_one_cluster(spark):
+    at = np.cumsum(1.02 ** np.arange(30))
+    rows = [(f"i{i:02d}", f"i{j:02d}", float(at[j] - at[i])) for i in range(30) for j in range(i + 1, 30)]
+    merges = GR.agglomerate(spark.createDataFrame(rows, "a string, b string, distance double"), "single").collect()
+    assert len(merges) == 29 and max(r["round"] for r in merges) == 29
+
+
 def test_communities_find_planted_partition(spark):
     rng = np.random.default_rng(0)
     rows = [(i, j, 1.0) for i in range(45) for j in range(i + 1, 45) if rng.random() < (0.6 if i // 15 == j // 15 else 0.03)]
     edges = spark.createDataFrame(rows, "src int, dst int, weight double")
-    found = GR.communities(edges, max_levels=3, max_rounds=5)
+    found = GR.communities(edges)
     both = found.withColumn("truth", F.floor(F.col("cell_id") / 15))
     assert MO.partition_agreement(both, "cluster", "truth").first()["ari"] > 0.9
     assert GR.modularity(edges, found).first()["modularity"] > 0.4
