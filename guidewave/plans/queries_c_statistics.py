@@ -479,3 +479,33 @@ def fn_14(spark, sf):
     a, b, c, d = (F.col(x) for x in "abcd")
     out = t4.withColumn("odds", fn.corrected_odds(a, b, c, d)).withColumn("log2_odds", F.log2("odds")).withColumn("sample_odds", fn.raw_odds(a, b, c, d))
     return _round(out, "odds", "log2_odds", "sample_odds")
+
+
+# ---- cluster markers: the screened cells by sample, all genes
+
+SUBQUERIES.update({
+    "marker_cells": "SELECT cell_id, sample AS cluster FROM screened",
+    "marker_ranks": """SELECT cluster, feature, v, rank() OVER (PARTITION BY feature ORDER BY v) + (count(*) OVER (PARTITION BY feature, v) - 1) / 2.0 AS r FROM
+        (SELECT c.cell_id, c.cluster, f.feature, coalesce(round(l.v, 9), 0) AS v FROM marker_cells c CROSS JOIN (SELECT DISTINCT p_brand AS feature FROM part) f LEFT JOIN lognorm l ON l.cell_id = c.cell_id AND l.feature = f.feature)""",
+    "marker_sums": "SELECT cluster, feature, count(*) AS n_p, sum(v) AS s, sum(r) AS r FROM marker_ranks GROUP BY 1, 2",
+    "marker_table": """SELECT cluster, feature, n_p, n - n_p AS n_c, s / n_p AS mean_p, (t - s) / (n - n_p) AS mean_c, log2((exp(s / n_p) - 1 + 1e-9) / (exp((t - s) / (n - n_p)) - 1 + 1e-9)) AS logfoldchange,
+        (r - n_p * (n + 1) / 2.0) / sqrt(n_p * (n - n_p) * (n + 1) / 12.0) AS score FROM (SELECT *, sum(n_p) OVER (PARTITION BY feature) AS n, sum(s) OVER (PARTITION BY feature) AS t FROM marker_sums)""",
+})
+
+
+def markers(spark, sf):
+    clusters = screened(spark, sf).where("perturbation_class = 'single_targeting' OR (perturbation_class = 'single_control' AND control_class = 'non_targeting')").select("cell_id", F.col("sample").alias("cluster"))
+    genes = S.read(spark, sf, "part").select(F.col("p_brand").alias("feature")).distinct()
+    return GT.cluster_markers(clusters, lognorm(spark, sf).withColumn("lognorm", F.round("lognorm", 9)), genes)
+
+
+@register("stat_28_cluster_markers", f"SELECT cluster, feature, CAST(n_p AS BIGINT) AS n_p, CAST(n_c AS BIGINT) AS n_c, {R6('mean_p')} AS mean_p, {R6('mean_c')} AS mean_c, {R6('logfoldchange')} AS logfoldchange, {R6('score')} AS score FROM marker_table")
+def stat_28(spark, sf):
+    return _round(markers(spark, sf).drop("p_value"), "mean_p", "mean_c", "logfoldchange", "score")
+
+
+@register("top_04_marker_panel", """SELECT feature, min_by(cluster, cluster) AS cluster, CAST(min_by(marker_rank, cluster) AS INT) AS marker_rank FROM
+    (SELECT feature, cluster, row_number() OVER (PARTITION BY cluster ORDER BY logfoldchange DESC, feature) AS marker_rank FROM
+    (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, feature) AS k FROM marker_table) WHERE k <= 10 AND logfoldchange > 0) GROUP BY 1""")
+def top_04(spark, sf):
+    return GT.marker_panel(markers(spark, sf), 10)

@@ -98,11 +98,13 @@ def stat_19b(spark, sf):
 
 
 def vec_proteins(spark, sf):
-    v = S.vectors(spark, sf).select("cell_id", F.posexplode(F.slice("vec", 1, 4)).alias("i", "value"))
+    # eight proteins, the means of eight neighbouring components each, so that all 64 are read
+    means = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.aggregate(F.slice("vec", i * 8 + 1, F.lit(8)), F.lit(0.0).cast("double"), lambda total, x: total + x) / 8)
+    v = S.vectors(spark, sf).select("cell_id", F.posexplode(means).alias("i", "value"))
     return v.select("cell_id", F.concat(F.lit("p"), (F.col("i") + 1).cast("string")).alias("protein"), "value")
 
 
-_VP = "SELECT cell_id, 'p' || i AS protein, vec[i] AS value FROM vectors, range(1, 5) AS r(i)"
+_VP = "SELECT cell_id, 'p' || i AS protein, list_sum(vec[8 * i - 7:8 * i]) / 8 AS value FROM vectors, range(1, 9) AS r(i)"
 
 
 @register("stat_20_local_enrichment_protein_cells", _spearman_sql("target, protein", "score", "value", f"SELECT l.target, p.protein, round(l.score, 9) AS score, p.value FROM loch l JOIN ({_VP}) p ON l.cell_id = p.cell_id WHERE l.own = l.target AND l.target <> 'NT'", "n_cells"))
@@ -164,7 +166,7 @@ def stat_14(spark, sf):
 
 @register("stat_16_geometry_association")
 def stat_16(spark, sf):
-    return _round(CO.geometry_association(vec_pairs(spark, sf), vec_effects(spark, sf), ["p1", "p2"], 20), "mantel_rho", "p_permutation", "fdr")
+    return _round(CO.geometry_association(vec_pairs(spark, sf), vec_effects(spark, sf), [f"p{i}" for i in range(1, 9)], 20), "mantel_rho", "p_permutation", "fdr")
 
 
 _MOD = "SELECT target, CASE WHEN CAST(substr(target, 7) AS INT) % 3 = 0 THEN 'A' WHEN CAST(substr(target, 7) AS INT) % 3 = 1 THEN 'B' ELSE 'C' END AS module FROM (SELECT DISTINCT target FROM peff)"

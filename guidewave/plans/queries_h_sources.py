@@ -53,9 +53,10 @@ def _dense(spark, sf):
     return paths
 
 
-@register("src_01_dense_matrix", "SELECT cell_id, feature, CAST(count AS DOUBLE) AS value FROM expr WHERE CAST(substr(cell_id, 2) AS BIGINT) % 2 = 0")
+@register("src_01_dense_matrix", "SELECT cell_id, feature, CAST(count AS DOUBLE) AS value FROM expr")
 def src_01(spark, sf):
-    return TX.read_dense_matrix(spark, _dense(spark, sf)[0], separator="comma")
+    even, odd = (TX.read_dense_matrix(spark, path, separator="comma") for path in _dense(spark, sf))
+    return even.unionByName(odd)
 
 
 @register("src_02_dense_cell_partitions", "SELECT cell_id, feature, CAST(count AS DOUBLE) AS value FROM expr")
@@ -104,12 +105,13 @@ def src_08(spark, sf):
     return TX.read_guide_assignments(spark, path, separator="tab").select("cell_id", F.array_join("guides", ";").alias("guides"))
 
 
-@register("src_09_embedding", "SELECT CAST(cell_id AS VARCHAR) AS cell_id, round(vec[1], 4) AS x, round(vec[2], 4) AS y FROM vectors")
+@register("src_09_embedding", "SELECT CAST(cell_id AS VARCHAR) AS cell_id, CAST(a - 1 AS INT) AS axis, round(vec[a], 4) + 0.0 AS value FROM vectors, range(1, 65) AS r(a)")
 def src_09(spark, sf):
     path = shared_path(spark, "embedding")
-    S.vectors(spark, sf).select(F.col("cell_id").alias("NAME"), F.element_at("vec", 1).alias("X"), F.element_at("vec", 2).alias("Y")).write.option("header", True).option("sep", "\t").csv(path)
-    emb = TX.read_embedding(spark, path, ["X", "Y"], separator="tab")
-    return _round(emb.select("cell_id", F.element_at("vec", 1).alias("x"), F.element_at("vec", 2).alias("y")), "x", "y", digits=4)
+    axes = [f"X{i}" for i in range(1, 65)]
+    S.vectors(spark, sf).select(F.col("cell_id").alias("NAME"), *[F.element_at("vec", i + 1).alias(x) for i, x in enumerate(axes)]).write.option("header", True).option("sep", "\t").csv(path)
+    emb = TX.read_embedding(spark, path, axes, separator="tab")
+    return _round(emb.select("cell_id", F.posexplode("vec").alias("axis", "value")), "value", digits=4)
 
 
 @register("src_10_slot_addressed_matrix", "SELECT cell_id, protein AS feature, CAST(count AS DOUBLE) AS value FROM protein_counts")
@@ -184,10 +186,10 @@ def src_17(spark, sf):
     return BU.first_cells(counts(spark, sf).select("cell_id", "feature", "value"), S.cell_metadata(spark, sf), 700)
 
 
-@register("src_18_file_inventory", "SELECT 'half0.csv' AS name, count(DISTINCT p_brand) + 1 AS n_lines, (SELECT count(*) + 1 FROM meta WHERE pos % 2 = 0) AS n_columns, 'GENE' AS first_column FROM part".replace("count(DISTINCT p_brand) + 1", "CAST(count(DISTINCT p_brand) + 1 AS BIGINT)").replace("count(*) + 1 FROM", "CAST(count(*) + 1 AS INT) FROM"))
+@register("src_18_file_inventory", " UNION ALL ".join(f"SELECT 'half{h}.csv' AS name, CAST(count(DISTINCT p_brand) + 1 AS BIGINT) AS n_lines, (SELECT CAST(count(*) + 1 AS INT) FROM meta WHERE pos % 2 = {h}) AS n_columns, 'GENE' AS first_column FROM part" for h in (0, 1)))
 def src_18(spark, sf):
-    out = IV.inspect_text(spark, [_dense(spark, sf)[0]], "comma")
-    return out.select(F.regexp_extract("file", "(half0\\.csv)", 1).alias("name"), "n_lines", "n_columns", "first_column")
+    out = IV.inspect_text(spark, _dense(spark, sf), "comma")
+    return out.select(F.regexp_extract("file", "(half[01]\\.csv)", 1).alias("name"), "n_lines", "n_columns", "first_column")
 
 
 @register("src_19_explicit_map", "SELECT guide, CASE WHEN target = 'Brand#1' THEN 'mapped' ELSE target END AS target FROM guide_library")
@@ -362,9 +364,9 @@ def agg_45(spark, sf):
     return _round(PF.binned_medians(S.read(spark, sf, "orders"), "o_totalprice", "o_custkey"), "median_x", "median_y", digits=4)
 
 
-@register("agg_48_cluster_positions", "SELECT cluster, CAST(a - 1 AS INT) AS axis, round(quantile_cont(vec[a], 0.5), 6) AS median FROM vectors, range(1, 3) AS r(a) GROUP BY 1, 2")
+@register("agg_48_cluster_positions", "SELECT cluster, CAST(a - 1 AS INT) AS axis, round(quantile_cont(vec[a], 0.5), 6) AS median FROM vectors, range(1, 65) AS r(a) GROUP BY 1, 2")
 def agg_48(spark, sf):
-    return _round(PF.cluster_positions(S.vectors(spark, sf), "cluster"), "median")
+    return _round(PF.cluster_positions(S.vectors(spark, sf), "cluster", 64), "median")
 
 
 @register("agg_21_cluster_summary", """SELECT c.cluster, n AS n_cells, round(n / (SELECT count(*) FROM vectors), 6) AS fraction, 0.0 AS frac_ambiguous_or_unassigned, lv AS top_sample, round(k / n, 6) AS top_sample_share, '' AS flags FROM (SELECT cluster, count(*) AS n FROM vectors GROUP BY 1) c

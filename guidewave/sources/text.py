@@ -148,15 +148,26 @@ def unique_names(features: DataFrame, column: str = "feature_name") -> DataFrame
 
 
 def read_table(spark: SparkSession, path: str, separator: str = "auto", index: str | None = None, type_row: str = "auto") -> DataFrame:
-    """Metadata table, every column a string; a second line starting with TYPE is dropped."""
-    df = spark.read.csv(path, sep=separator_for(path, separator), header=True, inferSchema=False, nullValue=None, emptyValue="").na.fill("")
+    """Metadata table, every column a string; the second line of a file is dropped if it starts with TYPE.
+
+    ``type_row="always"`` drops every second line, ``"never"`` none.  Without
+    such a line the file is read as plain CSV; with one, its numbered lines are
+    parsed, so that a later row named TYPE stays.
+    """
+    sep = separator_for(path, separator)
+    options = {"sep": sep, "emptyValue": ""}
+    df = spark.read.csv(path, header=True, inferSchema=False, nullValue=None, **options).na.fill("")
     if index is not None and index not in df.columns:
         raise InputError(f"column {index} not found (columns: {df.columns[:10]})")
     if type_row == "never":
         return df
-    typed = numbered_lines(spark, path).where("pos = 1").select(F.upper(F.element_at(_parts(separator_for(path, separator)), 1)).alias("_t"))
-    has_type = type_row == "always" or not typed.where("_t = 'TYPE'").isEmpty()
-    return df.where(F.upper(F.col(df.columns[0])) != "TYPE") if has_type else df
+    lines = numbered_lines(spark, path)
+    second = F.col("pos") == 1 if type_row == "always" else (F.col("pos") == 1) & (F.upper(F.element_at(_parts(sep), 1)) == "TYPE")
+    if lines.where(second).isEmpty():
+        return df
+    ddl = ", ".join(f"`{c.replace('`', '``')}` string" for c in df.columns)
+    body = lines.where((F.col("pos") > 0) & ~second & (F.col("value") != ""))
+    return body.select(F.from_csv("value", ddl, options).alias("_row")).select("_row.*").na.fill("")
 
 
 def read_guide_assignments(spark: SparkSession, path: str, cell: str = "Cell", guides: str = "sgRNAs", list_separator: str = ",", separator: str = "auto") -> DataFrame:
