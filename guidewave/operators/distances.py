@@ -1,7 +1,9 @@
 """Distances between groups of cells: energy distance, MMD, permutation test, pair space.
 
-Groups are bounded samples by definition of the operator (at most a few thousand
-cells each), so one group pair always fits one task; the vectors travel in Arrow.
+All cells of a group are compared.  A group pair is one task's work, and its
+distance block grows with the product of the two sizes, so callers with very
+large groups pass a limit, which draws a reproducible sample; nothing is sampled
+unasked.  The vectors travel in Arrow.
 """
 
 from __future__ import annotations
@@ -18,20 +20,19 @@ from pyspark.sql import Window as W
 from ..functions.ordering import bh_adjust
 from ..functions.scalars import seed_from_text
 from .labels import is_perturbed, is_reference
-from .neighbors import _distances, _matrix
+from .grouping import agglomerate, cut_tree, default_module_count
+from .neighbors import _matrix
 from .sampling import bounded_sample
 
-#: caps of the bounded samples
-MAX_TARGET_CELLS, MAX_CONTROL_CELLS = 2000, 5000
 _PERMUTATION_BATCH = 64
 
 
 def _refined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distance block; identical rows give exactly zero."""
-    d = _distances(a, b)
-    if a is b:
-        np.fill_diagonal(d, 0.0)
-    return d
+    """Distance block; what is zero up to the rounding of the expanded square is exactly zero."""
+    size = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :]
+    square = size - 2.0 * (a @ b.T)
+    square[square <= 1e-12 * size] = 0.0
+    return np.sqrt(square)
 
 
 def energy_statistic(x: np.ndarray, y: np.ndarray) -> float:
@@ -102,19 +103,19 @@ def target_index(cells: DataFrame) -> DataFrame:
     return sizes.withColumn("target_no", F.row_number().over(W.orderBy("target")) - 1)
 
 
-def _sampled_targets(cells: DataFrame, min_cells: int, max_cells: int, seed: int, stratum: str | None) -> tuple[DataFrame, DataFrame]:
+def _sampled_targets(cells: DataFrame, min_cells: int, max_cells: int | None, seed: int, stratum: str | None) -> tuple[DataFrame, DataFrame]:
     index = target_index(cells)
     own = cells.where(is_perturbed()).join(index.where(F.col("n_cells") >= min_cells).select("target"), "target", "left_semi")
     keep = ["target", "cell_id", "vec", *([stratum] if stratum else [])]
     return index, bounded_sample(own.select(*keep), ["target"], max_cells, seed, stratum=stratum)
 
 
-def perturbation_distance(cells: DataFrame, control_classes: Sequence[str], primary: str = "ntc", min_cells: int = 30, max_target: int = MAX_TARGET_CELLS, max_control: int = MAX_CONTROL_CELLS,
+def perturbation_distance(cells: DataFrame, control_classes: Sequence[str], primary: str = "ntc", min_cells: int = 30, max_target: int | None = None, max_control: int | None = None,
                           n_permutations: int = 1000, seed: int = 123, alpha: float = 0.05, secondary: str | None = "mmd", stratum: str | None = None) -> DataFrame:
     """Energy distance of every target from the control cells, permutation p, optional MMD, FDR.
 
     Targets below ``min_cells`` are kept with their skip reason.  The control
-    sample (at most ``max_control`` vectors) is sent once to each target.
+    cells (``max_control`` of them, if given) are sent once to each target.
     """
     arm = choose_control(cells, control_classes, primary, min_cells)
     if arm is None:
@@ -145,7 +146,7 @@ def perturbation_distance(cells: DataFrame, control_classes: Sequence[str], prim
     return out.unionByName(skipped, allowMissingColumns=True)
 
 
-def pair_distances(cells: DataFrame, min_cells: int = 30, max_cells: int = MAX_TARGET_CELLS, metric: str = "edistance", seed: int = 123, stratum: str | None = None, block: int = 16) -> DataFrame:
+def pair_distances(cells: DataFrame, min_cells: int = 30, max_cells: int | None = None, metric: str = "edistance", seed: int = 123, stratum: str | None = None, block: int = 16) -> DataFrame:
     """(target_a, target_b, distance) for a < b.
 
     Targets are cut into blocks and block pairs meet by an equi-join on the two
@@ -238,3 +239,29 @@ def principal_coordinates(pairs: DataFrame, n_components: int = 10) -> tuple[Dat
     table = spark.createDataFrame([(int(i), j + 1, float(axes[i, j])) for i in range(axes.shape[0]) for j in range(axes.shape[1])], "no int, axis int, value double")
     eigen = spark.createDataFrame([(j + 1, float(values[i])) for j, i in enumerate(keep)], "axis int, value double")
     return table.join(names.withColumnRenamed("a", "target"), "no").select("target", "axis", "value"), eigen
+
+
+def distance_space(cells: DataFrame, min_cells: int = 30, n_components: int = 10, n_neighbors: int = 10, n_modules: int | None = None, linkage: str = "average", metric: str = "edistance",
+                   seed: int = 123, max_cells: int | None = None, stratum: str | None = None) -> dict[str, DataFrame]:
+    """The whole space of targets: pairs, coordinates, eigenvalues, neighbors, modules and skipped targets.
+
+    Phenotype modules cut the tree of the pair distances.  With fewer than two
+    targets of ``min_cells`` cells all tables but ``skipped`` are empty.
+    """
+    from ..functions.session import cut_lineage
+
+    spark = cells.sparkSession
+    index = target_index(cells)
+    skipped = index.where(F.col("n_cells") < min_cells).select("target", "n_cells", F.format_string(f"fewer than {min_cells} cells (%d)", "n_cells").alias("reason"))
+    eligible = index.where(F.col("n_cells") >= min_cells).select(F.col("target").alias("item"))
+    n = eligible.count()
+    if n < 2:
+        layout = {"pairs": "target_a string, target_b string, distance double", "coordinates": "target string, axis int, value double", "eigenvalues": "axis int, value double",
+                  "neighbors": "target string, neighbor string, distance double, rank int", "modules": "target string, phenotype_module string"}
+        return {name: spark.createDataFrame([], ddl) for name, ddl in layout.items()} | {"skipped": skipped}
+    pairs = cut_lineage(pair_distances(cells, min_cells, max_cells, metric, seed, stratum))
+    coordinates, eigenvalues = principal_coordinates(pairs, n_components)
+    merges = agglomerate(pairs.select(F.col("target_a").alias("a"), F.col("target_b").alias("b"), "distance"), linkage)
+    modules = cut_tree(eligible, merges, n_modules or default_module_count(n))
+    return {"pairs": pairs, "coordinates": coordinates, "eigenvalues": eigenvalues, "neighbors": nearest_targets(pairs, n_neighbors),
+            "modules": modules.select(F.col("item").alias("target"), F.col("module").alias("phenotype_module")), "skipped": skipped}

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from ..functions.ordering import hash_rank
 
 
-def bounded_sample(df: DataFrame, group: Sequence[str], limit: int, seed: int, id_column: str = "cell_id", stratum: str | None = None) -> DataFrame:
+def bounded_sample(df: DataFrame, group: Sequence[str], limit: int | None, seed: int, id_column: str = "cell_id", stratum: str | None = None) -> DataFrame:
     """At most ``limit`` rows per group: all of a small group, a hash-ordered draw of a larger one.
 
     With a stratum every level first gets its rounded share (at least one row);
-    the draw is then trimmed or topped up to the limit in hash order.
+    the draw is then trimmed or topped up to the limit in hash order.  Without a
+    limit all rows stay.
     """
+    if limit is None:
+        return df
     group = list(group)
     digest = F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col(id_column).cast("string")), 256)
     rows = df.withColumn("_h", digest)

@@ -159,6 +159,15 @@ _MANTEL = f"""WITH b AS (SELECT p.target_a, p.target_b, rank() OVER (ORDER BY r.
     SELECT (SELECT count(*) FROM b) AS n_pairs, round((SELECT corr(r1, r2) FROM b), 5) AS mantel_rho, round((1 + count(*) FILTER (rho >= (SELECT corr(r1, r2) FROM b) - 1e-12)) / (1 + count(*)), 6) AS p_permutation FROM perm"""
 
 
+@register("stat_31_distance_space")
+def stat_31(spark, sf):
+    space = D.distance_space(S.vectors(spark, sf), n_components=3, n_neighbors=1)
+    near = space["neighbors"].select("target", F.col("neighbor").alias("nearest"), "distance")
+    axes = space["coordinates"].groupBy("target").agg(*[F.max(F.when(F.col("axis") == k, F.col("value"))).alias(f"axis_{k}") for k in (1, 2, 3)])
+    found = _round(space["modules"].join(near, "target").join(axes, "target", "left"), "distance", "axis_1", "axis_2", "axis_3", digits=5)
+    return found.withColumn("reason", F.lit(None).cast("string")).unionByName(space["skipped"].drop("n_cells"), allowMissingColumns=True)
+
+
 @register("stat_14_mantel", f"SELECT * FROM ({_MANTEL})")
 def stat_14(spark, sf):
     return _round(_round(CO.mantel(vec_pairs(spark, sf), CO.profile_distances(vec_effects(spark, sf)), 50), "mantel_rho", digits=5), "p_permutation")

@@ -25,12 +25,16 @@ class ScreenInputs:
     provenance: dict[str, str] = field(default_factory=dict)
 
 
-def concat_lanes(parts: Sequence[tuple[str, DataFrame]], check: bool = True) -> tuple[DataFrame, DataFrame]:
+def concat_lanes(parts: Sequence[tuple[str, DataFrame]], check: bool = True, features: Sequence[tuple[str, DataFrame]] = ()) -> tuple[DataFrame, DataFrame]:
     """(long matrix with ``<barcode>__<lane>`` ids, lane table).
 
-    Lane ids must be unique and free of the separator, and all lanes must list
-    the same features; ids repeated after suffixing are an error.
+    Lane ids must be unique and free of the separator; ids repeated after
+    suffixing are an error.  With the lanes' feature tables (pos, feature_id),
+    lanes that list other features or another order are an error too; stored
+    values alone cannot tell, as zeros are not stored.
     """
+    if check and features and not lane_features_differ(features).isEmpty():
+        raise InputError("the lanes do not list the same features in the same order")
     ids = [lane for lane, _ in parts]
     if len(set(ids)) != len(ids):
         raise InputError(f"lane ids must be unique: {ids}")

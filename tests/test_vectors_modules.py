@@ -179,6 +179,23 @@ def test_agglomeration_matches_greedy_merging(spark, linkage):
     assert [labels[f"i{i:02d}"] for i in range(12)] == ["M1"] * 4 + ["M2"] * 4 + ["M3"] * 4
 
 
+def test_distance_space_joins_similar_targets(spark):
+    cells, _ = grouped(spark)
+    space = D.distance_space(cells, n_modules=2)
+    modules = {r["target"]: r["phenotype_module"] for r in space["modules"].collect()}
+    assert set(modules) == {"A", "B", "C"} and modules["A"] == modules["B"] != modules["C"]
+    nearest = {r["target"]: r["neighbor"] for r in space["neighbors"].where("rank = 1").collect()}
+    assert nearest["A"] == "B" and nearest["B"] == "A"
+    assert [tuple(r) for r in space["skipped"].collect()] == [("R", 4, "fewer than 30 cells (4)")]
+    alone = D.distance_space(cells.where("target in ('NT', 'A')"))
+    assert all(alone[t].isEmpty() for t in ("pairs", "coordinates", "modules", "neighbors"))
+
+
+def test_identical_vectors_are_at_distance_zero():
+    x = np.repeat(np.random.default_rng(0).normal(3, 1, (1, 40)), 100, axis=0)
+    assert not D._refined(x, x.copy()).any() and D.mmd_statistic(x, x.copy()) == 0.0
+
+
 def test_agglomeration_goes_on_to_one_cluster(spark):
     at = np.cumsum(1.02 ** np.arange(30))
     rows = [(f"i{i:02d}", f"i{j:02d}", float(at[j] - at[i])) for i in range(30) for j in range(i + 1, 30)]
