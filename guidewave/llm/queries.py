@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_WORDS = r"list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"
+_WORDS = r"list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 
 @query("op3_benchmark_decontamination", f"""
@@ -95,7 +95,23 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compared(table(spark, sf_dir, "documents"))
 
 
-@query("op6_licenses")
+_TEMPLATES = ", ".join(f"({k}, '{t.label}', '{t.words}', {str(t.base).lower()})" for k, t in enumerate(licenses.TEMPLATES))
+
+
+@query("op6_licenses", f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+t AS (SELECT *, string_split(words, ' ') AS tw FROM (VALUES {_TEMPLATES}) AS v(template, label, words, base)),
+tg AS (SELECT template, i - 1 AS place, tw[i:i + 1] AS gram FROM (SELECT template, tw, unnest(range(1, len(tw))) AS i FROM t)),
+dg AS (SELECT r, i - 1 AS pos, w[i:i + 1] AS gram FROM (SELECT r, w, unnest(range(1, len(w))) AS i FROM d)),
+v AS (SELECT r, template, pos - place AS diagonal, count(*) AS hits, min(place) AS least, max(place) AS most FROM dg JOIN tg USING (gram) GROUP BY ALL),
+o AS (SELECT v.*, label, base, len(tw) - 1 AS n_grams, hits = len(tw) - 1 AS whole FROM v JOIN t USING (template)),
+l AS (SELECT *, lag(diagonal) OVER z AS was, lag(most) OVER z AS upto, lag(whole) OVER z AS done FROM o WINDOW z AS (PARTITION BY r, template ORDER BY diagonal)),
+g AS (SELECT *, sum(CASE WHEN coalesce(diagonal - was <= {licenses.DRIFT} AND least > upto AND NOT done AND NOT whole AND NOT base, false) THEN 0 ELSE 1 END) OVER (PARTITION BY r, template ORDER BY diagonal) AS part FROM l),
+m AS (SELECT r, label, base, part, min(diagonal + least) AS first_word, sum(hits) / CAST(any_value(n_grams) AS DOUBLE) AS coverage FROM g GROUP BY r, template, label, base, part),
+k AS (SELECT r, count(*) FILTER (base) AS n_base, min(first_word) FILTER (base) AS first_word, max(first_word) FILTER (base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+        string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(coverage) AS score FROM m WHERE CASE WHEN base THEN coverage = 1 ELSE coverage >= {licenses.COVERED} END GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score FROM d LEFT JOIN k ON d.r = k.r""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     base = F.filter("found", lambda s: s["base"])
