@@ -81,7 +81,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-@query("op2_secrets")
+def _found(k: int, rule: secrets.Rule) -> str:
+    pattern = "'" + rule.pattern.replace("'", "''") + "'"
+    length = lambda part: f"coalesce(list_sum(list_transform({part}, lambda x: length(x))), 0)"
+    return f"""SELECT r, '{rule.kind}' AS kind, {k} AS place, CAST({length('gaps[1:i]')} + {length('whole[1:i - 1]')} AS BIGINT) AS s, length(whole[i]) AS n FROM
+        (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM (SELECT r, regexp_split_to_array(t, {pattern}) AS gaps, regexp_extract_all(t, {pattern}) AS whole, regexp_extract_all(t, {pattern}, {rule.group}) AS held FROM d WHERE regexp_matches(t, {pattern})))
+        WHERE length(held[i]) >= {rule.least}"""
+
+
+_SECRET_SPANS = "coalesce(string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, place){}, '')"
+
+
+@query("op2_secrets", f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents),
+f AS ({' UNION ALL '.join(_found(k, rule) for k, rule in enumerate(secrets.RULES))})
+SELECT any_value(doc_id) AS doc_id, {', '.join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE_RULES)},
+       sha256({_SECRET_SPANS.format(f' FILTER (place < {len(secrets.BASE_RULES)})')}) AS base_sha256, {_SECRET_SPANS.format(' FILTER (kind IS NOT NULL)')} AS spans
+FROM d LEFT JOIN f USING (r) GROUP BY r""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     base, every = tuple(r.kind for r in secrets.BASE_RULES), tuple(r.kind for r in secrets.RULES)
