@@ -10,13 +10,10 @@ from pyspark.sql import Window as W
 
 from ..functions.ordering import bh_adjust
 from ..functions.scalars import corrected_odds, ratio, raw_odds, significant3
-from ..functions.tails import chi2_upper, log_choose
+from ..functions.tails import chi2_upper, fisher_p
 from .grids import complete
 from .labels import is_perturbed, is_reference
 
-#: relative slack when comparing probabilities of equally likely tables
-FISHER_SLACK = 1e-7
-
 
 def contingency(cells: DataFrame, control_classes: Sequence[str], min_cells_per_target: int, min_cells_per_cluster: int, strata: Sequence[str] = ()) -> DataFrame:
     """2x2 counts per (target, arm, cluster[, stratum]): a, b for the target, c, d for the reference.
@@ -46,25 +43,9 @@ def contingency(cells: DataFrame, control_classes: Sequence[str], min_cells_per_
     return out.withColumn("b", F.col("n_target") - F.col("a")).withColumn("d", F.col("n_reference") - F.col("c"))
 
 
-def fisher_exact(tables: DataFrame, keys: Sequence[str], out: str = "pval_fisher") -> DataFrame:
-    """Two-sided exact p-value of 2x2 tables in columns a, b, c, d.
-
-    The support of a table is spread over rows and summed back with map-side
-    combine.  Probabilities are taken relative to the observed table through
-    ln-factorials, so large counts neither overflow nor lose their tail.
-    """
-    keys = list(keys)
-    a, b, c, d = (F.col(x) for x in "abcd")
-    row, col, n = a + b, a + c, a + b + c + d
-    lo, hi = F.greatest(F.lit(0), col - (n - row)), F.least(row, col)
-    distinct = tables.select("a", "b", "c", "d").distinct()
-    spread = distinct.withColumn("x", F.explode(F.sequence(lo, hi)))
-    spread = spread.withColumn("_lp", log_choose(col, F.col("x")) + log_choose(n - col, row - F.col("x")))
-    spread = spread.withColumn("_obs", log_choose(col, a) + log_choose(n - col, row - a)).withColumn("_all", log_choose(n, row))
-    term = F.exp(F.col("_lp") - F.col("_all"))
-    p = F.sum(F.when(F.col("_lp") <= F.col("_obs") + FISHER_SLACK, term).otherwise(0.0))
-    solved = spread.groupBy("a", "b", "c", "d").agg(F.least(F.lit(1.0), p).alias(out))
-    return tables.join(solved, ["a", "b", "c", "d"], "left")
+def fisher_exact(tables: DataFrame, out: str = "pval_fisher") -> DataFrame:
+    """Two-sided exact p-value of 2x2 tables in columns a, b, c, d; one row stays one row."""
+    return tables.withColumn(out, fisher_p("a", "b", "c", "d"))
 
 
 def cochran_mantel_haenszel(strata_tables: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -106,7 +87,7 @@ def cluster_enrichment(cells: DataFrame, control_classes: Sequence[str], primary
     keys = ["target", "control", "cluster"]
     usable = arm_sizes(cells, control_classes).where(F.col("n_available") >= min_reference)
     tables = contingency(cells, control_classes, min_cells_per_target, min_cells_per_cluster).join(usable.select("control"), "control", "left_semi")
-    out = fisher_exact(pair_columns(tables, pseudocount, min_reference), keys)
+    out = fisher_exact(pair_columns(tables, pseudocount, min_reference))
     if stratify_by:
         parts = contingency(cells, control_classes, min_cells_per_target, min_cells_per_cluster, [stratify_by])
         out = out.join(cochran_mantel_haenszel(parts, keys), keys, "left").na.fill(0, ["cmh_n_strata"])

@@ -56,9 +56,9 @@ def _finish_pair(df: DataFrame, suffix: str = "") -> DataFrame:
     return out.withColumn(f"auc{suffix}", F.try_divide(F.col(f"u{suffix}"), (n * m).cast("double")))
 
 
-def with_ks_p(df: DataFrame, out: str = "ks_pval", suffix: str = "") -> DataFrame:
+def with_ks_p(df: DataFrame, out: str = "ks_pval", suffix: str = "", method: str = "auto") -> DataFrame:
     n, m = F.col(f"n_first{suffix}"), F.col(f"n_second{suffix}")
-    return df.withColumn(out, ks_two_sided(n.cast("double"), m.cast("double"), F.col(f"ks_stat{suffix}")))
+    return df.withColumn(out, ks_two_sided(n.cast("double"), m.cast("double"), F.col(f"ks_stat{suffix}"), method))
 
 
 def with_rank_sum_p(df: DataFrame, out: str = "p_value", alternative: str = "two-sided", suffix: str = "") -> DataFrame:

@@ -44,7 +44,7 @@ def agg_23(spark, sf):
 
 @register("stat_07_fisher_exact", "SELECT target, cluster, control, round(p, 6) AS pval_fisher FROM fisher")
 def stat_07(spark, sf):
-    t = E.fisher_exact(E.contingency(cells(spark, sf), CLASSES, MIN_T, MIN_K), ["target", "cluster", "control"])
+    t = E.fisher_exact(E.contingency(cells(spark, sf), CLASSES, MIN_T, MIN_K))
     return _round(t.select("target", "cluster", "control", "pval_fisher"), "pval_fisher")
 
 
@@ -56,7 +56,7 @@ def stat_07b(spark, sf):
     q, t = F.col("quality"), F.col("toxic")
     tables = S.read(spark, sf, "labels").join(S.read(spark, sf, "documents"), "doc_id").groupBy("lang").agg(
         *[F.count_if((q == i) & (t == j)).alias(k) for k, i, j in (("a", 1, 1), ("b", 1, 0), ("c", 0, 1), ("d", 0, 0))])
-    return _round(E.fisher_exact(tables, ["lang"]).select("lang", "pval_fisher"), "pval_fisher")
+    return _round(E.fisher_exact(tables).select("lang", "pval_fisher"), "pval_fisher")
 
 
 _STRATA = """SELECT source, lang, CAST(count(*) FILTER (quality = 1 AND toxic = 1) AS DOUBLE) AS a, CAST(count(*) FILTER (quality = 1 AND toxic = 0) AS DOUBLE) AS b, CAST(count(*) FILTER (quality = 0 AND toxic = 1) AS DOUBLE) AS c,
@@ -156,6 +156,6 @@ def top_07(spark, sf):
 
 @register("top_02_best_cluster_per_target", "SELECT target, arg_min(cluster, round(p, 9)) AS cluster, round(min(p), 6) AS pval FROM (SELECT * FROM fisher WHERE control = 'other' ORDER BY cluster) GROUP BY 1")
 def top_02(spark, sf):
-    t = E.fisher_exact(E.contingency(cells(spark, sf), CLASSES, MIN_T, MIN_K), ["target", "cluster", "control"]).where("control = 'other'")
+    t = E.fisher_exact(E.contingency(cells(spark, sf), CLASSES, MIN_T, MIN_K)).where("control = 'other'")
     best = t.groupBy("target").agg(F.min(F.struct(F.round("pval_fisher", 9).alias("p"), "cluster", F.col("pval_fisher").alias("v"))).alias("_b"))
     return best.select("target", F.col("_b.cluster").alias("cluster"), F.round("_b.v", 6).alias("pval"))
