@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -145,6 +145,33 @@ def module_run(effects: DataFrame, n_programs: int | None = 4, n_modules: int |
     return programs, cluster_axis(effects, "target", "feature", "log2fc", module_method, n_modules, "M", linkage, height)
 
 
+#: which gene panels are tried for a wanted one, in order
+PANEL_ORDER = {"cluster_markers": ("cluster_markers", "variable"), "response": ("response", "variable"), "variable": ("variable",)}
+
+
+def choose_panel(wanted: str, panels: Mapping[str, DataFrame], expressed: DataFrame, min_genes: int = 10) -> tuple[DataFrame, str]:
+    """(feature) of the first panel in the order of ``wanted`` that has ``min_genes`` expressed genes, and its name."""
+    for name in PANEL_ORDER[wanted]:
+        if name in panels:
+            genes = panels[name].select("feature").distinct().join(expressed.select("feature"), "feature", "left_semi")
+            if genes.count() >= min_genes:
+                return genes, name
+    raise ValueError(f"no panel for {wanted} has {min_genes} expressed genes")
+
+
+def module_tables(effects: DataFrame, panels: Mapping[str, DataFrame], expressed: DataFrame, wanted: str = "cluster_markers", min_genes: int = 10, **options) -> dict[str, DataFrame]:
+    """The module stage from panel to result tables: panel, programs, modules, program_effects and hubs.
+
+    ``effects(target, feature, log2fc, de)`` is cut to the chosen panel; the
+    hubs count all differential genes.  Further options go to ``module_run``.
+    """
+    panel, used = choose_panel(wanted, panels, expressed, min_genes)
+    own = effects.join(panel, "feature", "left_semi")
+    programs, modules = module_run(own, min_genes=min_genes, **options)
+    by_program = target_program_effects(own, programs).join(modules.select(F.col("item").alias("target"), "module"), "target", "left")
+    return {"panel": panel.withColumn("panel", F.lit(used)), "programs": programs, "modules": modules, "program_effects": by_program, "hubs": hubs(effects, modules)}
+
+
 def partition_agreement(labels: DataFrame, first: str, second: str) -> DataFrame:
     """Adjusted Rand index and normalised mutual information from the contingency table (one row)."""
     table = labels.groupBy(first, second).agg(F.count(F.lit(1)).alias("c"))

@@ -8,6 +8,7 @@ from ..operators import concordance as CO
 from ..operators import distances as D
 from ..operators import effects as EF
 from ..operators import enrichment as E
+from ..operators import genetests as GT
 from ..operators import grouping as GR
 from ..operators import knockdown as K
 from ..operators import master as MT
@@ -18,7 +19,7 @@ from . import queries_e_vectors as V
 from . import queries_f_response as QF
 from . import screen_tables as S
 from .queries_b_quality import _round
-from .queries_c_statistics import R6, effects, genes_seen, lognorm, own_counts, screened
+from .queries_c_statistics import R6, effects, genes_seen, lognorm, markers, own_counts, screened
 from .registry import SUBQUERIES, register
 
 SUBQUERIES.update({
@@ -244,9 +245,12 @@ def ml_11b(spark, sf):
 
 @register("ml_16_module_run")
 def ml_16(spark, sf):
-    programs, modules = programs_modules(spark, sf)
+    found = markers(spark, sf)
+    panels = {"cluster_markers": GT.marker_panel(found, 10), "variable": found.select("feature").distinct()}
+    expressed = GT.expressed_genes(lognorm(spark, sf), screened(spark, sf), 1.0)
     e = fx(spark, sf).withColumn("de", F.abs("log2fc") > 0.1)
-    return _round(MO.target_program_effects(e, programs).join(modules.select(F.col("item").alias("target"), "module"), "target"), "mean_log2fc", "frac_de")
+    tables = MO.module_tables(e, panels, expressed)
+    return _round(tables["program_effects"].crossJoin(F.broadcast(tables["panel"].agg(F.first("panel").alias("panel"), F.count(F.lit(1)).alias("n_panel")))), "mean_log2fc", "frac_de")  # one row
 
 
 @register("ml_11_merge_table")

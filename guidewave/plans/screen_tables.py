@@ -44,6 +44,11 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return _STORED[key]
 
 
+def forget() -> None:
+    """Drop the stage tables of this session, so that the next query builds its own."""
+    _STORED.clear()
+
+
 def _cell(column: str):
     return F.concat(F.lit("C"), F.col(column).cast("string"))
 

@@ -203,6 +203,20 @@ def test_agglomeration_goes_on_to_one_cluster(spark):
     assert len(merges) == 29 and max(r["round"] for r in merges) == 29
 
 
+def test_module_driver_falls_back_to_variable_genes(spark):
+    rng = np.random.default_rng(6)
+    centre = {"A": rng.normal(0, 1, 12), "B": rng.normal(0, 1, 12)}
+    rows = [(f"{k}{i}", f"g{j:02d}", float(centre[k][j] + rng.normal(0, 0.05)), bool(abs(centre[k][j]) > 1)) for k in "AB" for i in range(4) for j in range(12)]
+    effects = spark.createDataFrame(rows, "target string, feature string, log2fc double, de boolean")
+    genes = lambda n: spark.createDataFrame([(f"g{j:02d}",) for j in range(n)], "feature string")
+    out = MO.module_tables(effects, {"cluster_markers": genes(4), "variable": genes(12)}, genes(12), n_modules=2, n_programs=3)
+    assert {r["panel"] for r in out["panel"].collect()} == {"variable"} and out["panel"].count() == 12
+    labels = {r["item"]: r["module"] for r in out["modules"].collect()}
+    assert len({labels[f"A{i}"] for i in range(4)}) == 1 and labels["A0"] != labels["B0"]
+    with pytest.raises(ValueError):
+        MO.choose_panel("response", {"response": genes(3)}, genes(12))
+
+
 def test_communities_find_planted_partition(spark):
     rng = np.random.default_rng(0)
     rows = [(i, j, 1.0) for i in range(45) for j in range(i + 1, 45) if rng.random() < (0.6 if i // 15 == j // 15 else 0.03)]
