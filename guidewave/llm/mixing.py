@@ -59,18 +59,29 @@ def _features(column: pa.Array):
         yield lo, hi, pairs >> FEATURE_BITS, pairs & ((1 << FEATURE_BITS) - 1), tokens
 
 
+def _extracted(batches):
+    """Tokens and the distinct features of every text, beside its id."""
+    for batch in batches:
+        tokens, parts = np.zeros(batch.num_rows, np.int64), []
+        for lo, hi, row, bucket, n in _features(batch.column(1)):
+            tokens[lo:hi] = n
+            parts.append((np.bincount(row, minlength=hi - lo), bucket))
+        ends = np.concatenate([[0], np.cumsum(np.concatenate([c for c, _ in parts]))]) if parts else np.zeros(1)
+        flat = np.concatenate([f for _, f in parts]) if parts else np.zeros(0)
+        lists = pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(flat.astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "features"])
+
+
 def _presence(batches):
     """Documents of each domain that hold each feature; bucket -1 counts all documents."""
     size = 1 << FEATURE_BITS
-    held = np.zeros((len(DOMAINS), size), np.int64)
-    docs = np.zeros(len(DOMAINS), np.int64)
+    held, docs = np.zeros(len(DOMAINS) * size, np.int64), np.zeros(len(DOMAINS), np.int64)
     for batch in batches:
-        domain = batch.column(1).to_numpy()
+        domain, features = batch.column(0).to_numpy(), batch.column(1)
         docs += np.bincount(domain, minlength=len(DOMAINS))
-        for lo, hi, row, bucket, _ in _features(batch.column(0)):
-            np.add.at(held, (domain[lo:hi][row], bucket), 1)
-    at = np.nonzero(held)
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(at[0], np.arange(len(DOMAINS)))), pa.array(np.append(at[1], np.full(len(DOMAINS), -1))), pa.array(np.append(held[at], docs))], ["domain", "bucket", "n"])
+        held += np.bincount(np.repeat(domain, features.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64) * size + features.flatten().to_numpy(), minlength=len(held))
+    at = np.flatnonzero(held)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(at // size, np.arange(len(DOMAINS)))), pa.array(np.append(at % size, np.full(len(DOMAINS), -1))), pa.array(np.append(held[at], docs))], ["domain", "bucket", "n"])
 
 
 def _telling(sums) -> np.ndarray:
@@ -114,37 +125,38 @@ def _logistic(row: np.ndarray, feature: np.ndarray, domain: np.ndarray, n_featur
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """Intercepts and weights (domain x hashed feature) of the domain classifier.
 
-    A feature is a hashed word or run of marks, present or absent.  Which
-    features tell domains apart is counted over all labelled rows of ``docs``
-    (at most 3 x 2^18 sums come to the driver); a logistic regression on these
-    is fitted to at most ``sample_rows`` labelled rows, the first ones in the
-    order of a hash of their ids.
+    A feature is a hashed word or run of marks, present or absent.  The texts
+    become lists of features before they meet the labels, so that only these
+    move; the labelled ones are written once.  Which features tell domains apart
+    is counted over all labelled rows of ``docs`` (at most 3 x 2^18 sums come to
+    the driver); a logistic regression on these is fitted to ``sample_rows``
+    labelled rows at most, those of the smallest hashes of their ids (rows of
+    one id go together).
     """
-    spark = docs.sparkSession
-    own = docs.select("doc_id", docs["text"].cast("string").alias("text")).join(labelled_domains(labels), "doc_id")
-    sums = own.select("text", "domain").mapInArrow(_presence, "domain long, bucket long, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    kept = docs.select("doc_id", docs["text"].cast("string").alias("text")).where("doc_id is not null")
+    features = kept.mapInArrow(_extracted, f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, features array<int>")
+    # both sides grow with the corpus, so neither is broadcast at any size
+    own = cut_lineage(features.hint("merge").join(labelled_domains(labels), "doc_id").select(F.xxhash64("doc_id").alias("key"), "domain", "features"))
+    sums = own.select("domain", "features").mapInArrow(_presence, "domain long, bucket long, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toPandas()
     telling = _telling(sums) if len(sums) else np.zeros(0, np.int64)
+    weight = np.zeros((len(DOMAINS), 1 << FEATURE_BITS))
+    last = own.select("key").orderBy("key").limit(sample_rows).agg(F.max("key")).first()[0]
+    if last is None:
+        return np.zeros(len(DOMAINS)), weight
     place = np.full(1 << FEATURE_BITS, -1, np.int32)
     place[telling] = np.arange(len(telling))
-    sent = spark.sparkContext.broadcast(place)
 
-    def held(batches):
+    def told(batches):
         for batch in batches:
-            out = []
-            for lo, hi, row, bucket, _ in _features(batch.column(0)):
-                at = sent.value[bucket]
-                row, at = row[at >= 0], at[at >= 0]
-                out.extend(np.split(at, np.searchsorted(row, np.arange(1, hi - lo))))
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(out, pa.list_(pa.int32()))], ["key", "domain", "features"])
-
-    chosen = (own.select("text", F.xxhash64("doc_id").alias("key"), F.col("domain").cast("long").alias("domain"))
-              .mapInArrow(held, "key long, domain long, features array<int>").orderBy("key", "domain", F.size("features")).limit(sample_rows).toPandas())
-    weight = np.zeros((len(DOMAINS), 1 << FEATURE_BITS))
-    if not len(chosen):
-        return np.zeros(len(DOMAINS)), weight
-    lengths = chosen["features"].map(len).to_numpy()
-    feature = np.concatenate([np.asarray(x, np.int64) for x in chosen["features"]])
-    bias, fitted = _logistic(np.repeat(np.arange(len(chosen)), lengths), feature, chosen["domain"].to_numpy(), len(telling))
+            at = place[batch.column(1).flatten().to_numpy()]
+            row = np.repeat(np.arange(batch.num_rows), batch.column(1).value_lengths().to_numpy(zero_copy_only=False))[at >= 0]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(at[at >= 0]))], ["domain", "features"])
+
+    chosen = own.where(F.col("key") <= last).orderBy("key", "domain", F.size("features")).select("domain", "features").mapInArrow(told, "domain int, features array<int>").toArrow()
+    features = chosen["features"].combine_chunks()
+    row = np.repeat(np.arange(len(features)), features.value_lengths().to_numpy(zero_copy_only=False))
+    bias, fitted = _logistic(row, features.flatten().to_numpy().astype(np.int64), chosen["domain"].to_numpy(), len(telling))
     weight[:, telling] = fitted
     return bias, weight
 
