@@ -40,10 +40,10 @@ def align_cells(id_sets: Mapping[str, DataFrame], required: Sequence[str], polic
     need = required_modalities(required, list(id_sets))
     missing = [m for m in need if m not in id_sets]
     if missing:
-        raise AlignmentError(f"required modalities not loaded: {missing}")
+        raise AlignmentError(f"cannot align without {missing}: no such input was given")
     if policy == "metadata":
         if "metadata" not in id_sets:
-            raise AlignmentError("the metadata policy requires a metadata table")
+            raise AlignmentError("policy metadata takes its cells from a metadata table, which is absent")
         base = id_sets["metadata"]
     else:
         if reference not in id_sets:
@@ -85,18 +85,18 @@ def check_alignment(report: DataFrame, required: Sequence[str], policy: str = "i
     if fail_on_duplicates:
         bad = [m for m, r in rows.items() if r["duplicates"]]
         if bad:
-            raise AlignmentError(f"duplicate cell ids in: {', '.join(bad)}")
+            raise AlignmentError(f"ids occur twice in {bad}")
     if policy == "metadata":
         meta = rows["metadata"]
         lacking = [m for m in need if rows[m]["cells_kept"] < meta["cells_before"] - meta["duplicates"]]
         if lacking:
-            raise AlignmentError("metadata cells are missing from a required modality")
+            raise AlignmentError(f"{lacking} do not hold every cell of the metadata")
     ref = rows.get(reference) or next(iter(rows.values()))
     unique = max(1, ref["cells_before"] - ref["duplicates"])
     if ref["cells_kept"] == 0:
-        raise AlignmentError("no cells shared across the required modalities")
+        raise AlignmentError("the inputs have no cell in common")
     if ref["cells_kept"] / unique < min_overlap:
-        raise AlignmentError(f"only {ref['cells_kept']} of {unique} {reference} cells are in all required modalities")
+        raise AlignmentError(f"the common cells are {ref['cells_kept']} of {unique} in {reference}, a share below {min_overlap}")
 
 
 def lacking_cells(base: DataFrame, other: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ LEADING = ["target", "n_cells", "target_log2fc", "target_pct_kd", "target_fdr",
            "lochness_mean", "lochness_median", "lochness_peak", "lochness_pct_enriched", "energy_distance", "mmd_distance", "distance_pvalue", "distance_fdr", "distance_significant", "cofunctional_module", "phenotype_module"]
 
 
+# fixed values: the four dictionaries below give the output names of each part's columns
+
 def strength_columns(table: DataFrame, primary: str = "ntc") -> DataFrame:
     names = {"n_perturbed": "n_cells", f"log2fc_{primary}": "target_log2fc", f"pct_knockdown_{primary}": "target_pct_kd", f"ks_fdr_{primary}": "target_fdr", f"is_hit_{primary}": "is_effective_hit"}
     return table.select("target", *[F.col(c).alias(n) for c, n in names.items() if c in table.columns])

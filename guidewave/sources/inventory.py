@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from .text import numbered_lines, separator_for
 
 #: fixed values: file name endings of candidate inputs
-TABULAR_ENDINGS = (".csv", ".tsv", ".txt", ".tab", ".csv.gz", ".tsv.gz", ".txt.gz", ".h5", ".h5ad", ".mtx", ".mtx.gz")
-_TEXT_ENDINGS = tuple(e for e in TABULAR_ENDINGS if not e.startswith(".h5"))
+TABULAR_ENDINGS = (".csv", ".tsv", ".txt", ".tab", ".csv.gz", ".tsv.gz", ".txt.gz", ".mtx", ".mtx.gz")
 
 
 def discover(spark: SparkSession, root: str, endings: tuple[str, ...] = TABULAR_ENDINGS) -> DataFrame:
