@@ -120,7 +120,9 @@ def _scan(batches, sets: list[_Windows]):
 
 def _once(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     sets = docs.sparkSession.sparkContext.broadcast(_item_windows([(r[0], r[1]) for r in items.collect()], window))
-    return texts_of(docs).mapInArrow(lambda batches: _scan(batches, sets.value), "doc_id long, n_words long, spans array<struct<first:int,past:int>>, items array<string>")
+    own = texts_of(docs)
+    ids = own.schema["doc_id"].dataType.simpleString()
+    return own.mapInArrow(lambda batches: _scan(batches, sets.value), f"doc_id {ids}, n_words long, spans array<struct<first:int,past:int>>, items array<string>")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
