@@ -73,29 +73,29 @@ def _extracted(batches):
 
 
 def _presence(batches):
-    """Documents of each domain that hold each feature; bucket -1 counts all documents."""
+    """Documents of each domain that hold each feature, summed over a task."""
     size = 1 << FEATURE_BITS
-    held, docs = np.zeros(len(DOMAINS) * size, np.int64), np.zeros(len(DOMAINS), np.int64)
+    held = np.zeros(len(DOMAINS) * size, np.int64)
     for batch in batches:
         domain, features = batch.column(0).to_numpy(), batch.column(1)
-        docs += np.bincount(domain, minlength=len(DOMAINS))
         held += np.bincount(np.repeat(domain, features.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64) * size + features.flatten().to_numpy(), minlength=len(held))
     at = np.flatnonzero(held)
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(at // size, np.arange(len(DOMAINS)))), pa.array(np.append(at % size, np.full(len(DOMAINS), -1))), pa.array(np.append(held[at], docs))], ["domain", "bucket", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(at // size), pa.array(at % size), pa.array(held[at])], ["domain", "bucket", "n"])
 
 
-def _telling(sums) -> np.ndarray:
-    """Features whose share of documents in some domain differs from the other domains' by ``EVIDENCE`` standard errors."""
-    n, bucket, domain = sums["n"].to_numpy(), sums["bucket"].to_numpy(), sums["domain"].to_numpy()
-    size = np.zeros(len(DOMAINS))
-    size[domain[bucket < 0]] = n[bucket < 0]
-    held = np.zeros((len(DOMAINS), 1 << FEATURE_BITS))
-    held[domain[bucket >= 0], bucket[bucket >= 0]] = n[bucket >= 0]
-    rest, rest_size = held.sum(axis=0) - held, size.sum() - size
-    apart = np.abs((held + 0.5) / (size + 1)[:, None] - (rest + 0.5) / (rest_size + 1)[:, None])
-    pooled = (held.sum(axis=0) + 1) / (size.sum() + 2)
-    error = np.sqrt(pooled * (1 - pooled) * (1 / (size + 1) + 1 / (rest_size + 1))[:, None])
-    return np.flatnonzero(((apart > EVIDENCE * error) & (held.sum(axis=0) > 0)).any(axis=0))
+def _telling(own: DataFrame) -> np.ndarray:
+    """Features of ``own``(domain, features) whose share of documents in some domain differs from the others' by ``EVIDENCE`` standard errors."""
+    sizes = dict(own.groupBy("domain").count().collect())
+    total = sum(sizes.values())
+    counts = own.select("domain", "features").mapInArrow(_presence, "domain long, bucket long, n long").groupBy("bucket").agg(
+        F.sum("n").alias("held"), *[F.sum(F.when(F.col("domain") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(len(DOMAINS))])
+    pooled = (F.col("held") + 1) / (total + 2)
+    apart = F.lit(False)
+    for k in range(len(DOMAINS)):
+        size, rest = sizes.get(k, 0) + 1, total - sizes.get(k, 0) + 1
+        gap = F.abs((F.col(f"n{k}") + 0.5) / size - (F.col("held") - F.col(f"n{k}") + 0.5) / rest)
+        apart = apart | (gap > EVIDENCE * F.sqrt(pooled * (1 - pooled) * (1 / size + 1 / rest)))
+    return np.array(sorted(r[0] for r in counts.where(apart).select("bucket").collect()), np.int64)
 
 
 def _logistic(row: np.ndarray, feature: np.ndarray, domain: np.ndarray, n_features: int) -> tuple[np.ndarray, np.ndarray]:
@@ -128,8 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     A feature is a hashed word or run of marks, present or absent.  The texts
     become lists of features before they meet the labels, so that only these
     move; the labelled ones are written once.  Which features tell domains apart
-    is counted over all labelled rows of ``docs`` (at most 3 x 2^18 sums come to
-    the driver); a logistic regression on these is fitted to ``sample_rows``
+    is counted over all labelled rows of ``docs``, by Spark; a logistic regression on these is fitted to ``sample_rows``
     labelled rows at most, those of the smallest hashes of their ids (rows of
     one id go together).
     """
@@ -137,8 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     features = kept.mapInArrow(_extracted, f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, features array<int>")
     # both sides grow with the corpus, so neither is broadcast at any size
     own = cut_lineage(features.hint("merge").join(labelled_domains(labels), "doc_id").select(F.xxhash64("doc_id").alias("key"), "domain", "features"))
-    sums = own.select("domain", "features").mapInArrow(_presence, "domain long, bucket long, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    telling = _telling(sums) if len(sums) else np.zeros(0, np.int64)
+    telling = _telling(own)
     weight = np.zeros((len(DOMAINS), 1 << FEATURE_BITS))
     last = own.select("key").orderBy("key").limit(sample_rows).agg(F.max("key")).first()[0]
     if last is None:
@@ -154,9 +152,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(at[at >= 0]))], ["domain", "features"])
 
     chosen = own.where(F.col("key") <= last).orderBy("key", "domain", F.size("features")).select("domain", "features").mapInArrow(told, "domain int, features array<int>").toArrow()
-    features = chosen["features"].combine_chunks()
-    row = np.repeat(np.arange(len(features)), features.value_lengths().to_numpy(zero_copy_only=False))
-    bias, fitted = _logistic(row, features.flatten().to_numpy().astype(np.int64), chosen["domain"].to_numpy(), len(telling))
+    lists, domain = chosen["features"].combine_chunks(), chosen["domain"].to_numpy()
+    del chosen
+    row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    feature = lists.flatten().to_numpy().astype(np.int64)
+    del lists
+    bias, fitted = _logistic(row, feature, domain, len(telling))
     weight[:, telling] = fitted
     return bias, weight
 
