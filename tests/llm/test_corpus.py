@@ -257,6 +257,28 @@ def test_tree_gives_distributions():
     assert scorer.word(b"the") > scorer.word(b"than") > scorer.word(b"tzan")
 
 
+def test_rare_contexts_stay_in_the_tree(spark):
+    # "qxj" precedes 1e-7 of all symbols, always with z after it
+    words = {b"banana": 200_000_000, b"bandit": 90_000_000, b"qxjz": 120, b"axjo": 4_000, b"cxjo": 4_000, b"bxjo": 4_000, b"new": 0}
+    nodes, n_texts = {b"": {suffix_lm.END: 50}, suffix_lm.BEGINNING: {suffix_lm.END: 50}}, 50
+    for w, c in words.items():
+        for i in range(len(w) + 1):
+            history = suffix_lm._history(w, i)
+            for k in range(len(history) + 1):
+                own, symbol = nodes.setdefault(history[k:], {}), w[i] if i < len(w) else suffix_lm.MARK
+                if c:
+                    own[symbol] = own.get(symbol, 0) + c
+    nodes = {c: own for c, own in nodes.items() if sum(own.values()) >= 2 or not c}
+    total = sum(c * (len(w) + 1) for w, c in words.items())
+    scorer = suffix_lm.Scorer(suffix_lm._states(nodes, total))
+    frame = spark.createDataFrame([(k, w, c) for k, (w, c) in enumerate(words.items())], "number long, word binary, n long")
+    trees, end = suffix_lm.tree_scores(frame, n_texts)
+    got = {r["number"]: r["tree"] for r in trees.collect()}
+    assert np.allclose([got[k] for k in range(len(words))], [scorer.word(w) for w in words]) and np.isclose(end, scorer.end())
+    # after "qxj" the tree is all but sure of z; it would not be after "xj"
+    assert scorer.symbol(b"\xffqxj", ord("z")) > np.log10(0.9) and 120 / total < 2e-6
+
+
 # mixing
 
 def test_mixing(spark, docs, odd):
