@@ -43,9 +43,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as its rate says; those whose rate rounds to nothing go."""
-    rates = mixing.mixing_rates(docs.select("doc_id", "text", _whole(docs)), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str, targets: dict[str, float] | None = None) -> DataFrame:
+    """Every document as often as its rate says, a fractional part by a hash of the row; clean documents stay once at least."""
+    rates = mixing.mixing_rates(docs.select("doc_id", "text", _whole(docs)), spark.read.parquet(f"{sf_dir}/labels.parquet"), targets)
     copy = F.explode(F.sequence(F.lit(1).cast("long"), "copies"))
     return rates.where("copies > 0").select("own", copy.alias("copy")).select("own.*")
 

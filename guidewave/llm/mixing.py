@@ -5,7 +5,7 @@ document its posterior p.  A document of t tokens taken at rate r adds r t p to
 the domains' expected token totals.  The rates minimise the squared distance of
 those totals from the targets, by projected gradient steps from rate 1; a step
 moves a document by its posterior times the residual, and rates are kept
-between 0 and MAX_RATE.  Only the residual (one number per domain) goes to the driver.
+between 0 and MAX_RATE, or between 1 and a multiple of MAX_RATE for clean documents.  Only the residual (one number per domain) goes to the driver.
 """
 
 from __future__ import annotations
@@ -21,9 +21,9 @@ from ..functions.session import cut_lineage
 from .textruns import lower_table, row_of, row_slices, run_classes, run_hashes, runs, text_bytes, widened
 
 DOMAINS = ("plain", "good", "toxic")
-#: shares of the tokens to come from each domain
+#: shares of the tokens to come from each domain where the caller names none
 TARGETS = {"plain": 0.15, "good": 0.85, "toxic": 0.0}
-#: a document is taken this often at most
+#: a document is taken this often at most, times the growth of the budget
 MAX_RATE = 4.0
 FEATURE_BITS = 18
 #: standard errors by which a feature's rate in a domain must differ to count
@@ -193,28 +193,30 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def _rates(p: np.ndarray, steps: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _rates(p: np.ndarray, steps: Sequence[np.ndarray], clean: np.ndarray | None = None, most: float = MAX_RATE) -> tuple[np.ndarray, np.ndarray]:
     """Rates after the given gradient steps, and the point ahead of them at which the next step is taken.
 
     A step takes p times its vector off, and its last number's part of the
-    distance from 1, and stops at 0 and ``MAX_RATE``; the point ahead carries a growing part
+    distance from 1, and stops at 0 and ``most``, or at 1 for documents most
+    likely of a domain that ``clean`` marks; the point ahead carries a growing part
     of the last move on (Nesterov's rule).
     """
     rate = ahead = np.ones(len(p))
+    least = 0.0 if clean is None or not len(p) else clean[p.argmax(axis=1)].astype(float)
     for k, step in enumerate(steps):
-        new = np.clip(ahead - p @ step[:-1] - step[-1] * (ahead - 1.0), 0.0, MAX_RATE)
+        new = np.clip(ahead - p @ step[:-1] - step[-1] * (ahead - 1.0), least, most)
         ahead = new + k / (k + 3) * (new - rate)
         rate = new
     return rate, ahead
 
 
-def _totals(members: DataFrame, steps: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
+def _totals(members: DataFrame, steps: list[np.ndarray], width: int, clean: np.ndarray | None = None, most: float = MAX_RATE) -> tuple[np.ndarray, np.ndarray]:
     """Expected domain tokens at the point ahead of the rates after ``steps``, and sum of t p p'."""
     def per_batch(batches):
         total, square = np.zeros(width), np.zeros((width, width))
         for batch in batches:
             p, t = _matrix(batch.column(1), width), batch.column(0).to_numpy().astype(float)
-            total += (t * _rates(p, steps)[1]) @ p
+            total += (t * _rates(p, steps, clean, most)[1]) @ p
             square += (p * t[:, None]).T @ p
         yield pa.RecordBatch.from_arrays([pa.array([[*total, *square.reshape(-1)]])], ["v"])
 
@@ -225,11 +227,12 @@ def _totals(members: DataFrame, steps: list[np.ndarray], width: int) -> tuple[np
     return flat[:width], flat[width:].reshape(width, width)
 
 
-def fit(members: DataFrame, shares: Sequence[float], tolerance: float = TOLERANCE) -> list[np.ndarray]:
+def fit(members: DataFrame, shares: Sequence[float], tolerance: float = TOLERANCE, times: float = 1.0, clean: np.ndarray | None = None) -> list[np.ndarray]:
     """Gradient steps whose rates bring ``members``(tokens, p) to the token shares.
 
-    The budget is the tokens outside domains with share 0, so the rest keeps
-    about its size.  The squared gaps are weighted by the domains' own sums of
+    The budget is ``times`` the tokens outside domains with share 0, so with 1
+    the rest keeps about its size; documents of the domains that ``clean``
+    marks keep a rate of 1 or more.  The squared gaps are weighted by the domains' own sums of
     t p p, so that a small domain converges as fast as a large one; the step is
     one over the largest curvature in that scale, with momentum.  ``HOLD`` ties
     every rate to 1, so that a target which cannot be met (a share of 0 with
@@ -242,6 +245,7 @@ def fit(members: DataFrame, shares: Sequence[float], tolerance: float = TOLERANC
     budget = total[wanted > 0].sum()
     if budget <= 0:
         return []
+    budget *= times
     target = wanted * budget
     scale = np.maximum(np.diag(square), 1e-12 * np.trace(square))
     curvature = np.linalg.eigvalsh(square / np.sqrt(np.outer(scale, scale)))[-1]
@@ -249,7 +253,7 @@ def fit(members: DataFrame, shares: Sequence[float], tolerance: float = TOLERANC
     while True:
         steps.append(np.append((total - target) / scale, HOLD) / (curvature + HOLD))
         last = total
-        total, _ = _totals(members, steps, width)
+        total, _ = _totals(members, steps, width, clean, MAX_RATE * times)
         if np.abs(total - last).max() <= tolerance * budget:
             return steps
 
@@ -257,18 +261,32 @@ def fit(members: DataFrame, shares: Sequence[float], tolerance: float = TOLERANC
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """The columns of ``docs`` without its text, tokens, p, rate and copies for every row.
 
-    ``copies`` is the rate rounded to the nearest whole number (halves upwards).
+    ``targets`` are the callers' token shares of the domains, ``TARGETS`` without.
+    The budget is so large that no wanted domain (share above 0) must shrink:
+    shares are met by repeats, not by loss, and a document most likely of a
+    wanted domain is taken once at least.
+    ``copies`` is the whole part of the rate, and one more where a hash of the
+    row falls below the rest, so that expected totals are those of the rates.
     Repeated rows are documents of their own; an empty table gives none.
     """
     shares = [(targets or TARGETS)[d] for d in DOMAINS]
-    members = cut_lineage(posteriors(docs, labels))
-    steps = fit(members, shares)
-    columns = members.columns
+    draw = "draw"
+    while draw in docs.columns:
+        draw += "_"
+    drawn = docs.withColumn(draw, F.xxhash64(F.lit(draw), "doc_id", docs["text"].cast("string")))
+    members = cut_lineage(posteriors(drawn, labels))
+    clean = np.array(shares) > 0
+    total = _totals(members, [], len(shares))[0]
+    wanted = np.array(shares, float)[clean] / (sum(shares) or 1)
+    times = float(max(1.0, (total[clean] / wanted).max() / total[clean].sum())) if total[clean].sum() > 0 else 1.0
+    steps = fit(members, shares, times=times, clean=clean)
+    columns = [c for c in members.columns if c != draw]
 
     def per_batch(batches):
-        at = columns.index("p")
         for batch in batches:
-            rate, _ = _rates(_matrix(batch.column(at), len(DOMAINS)), steps)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate), pa.array(np.floor(rate + 0.5).astype(np.int64))], names=[*columns, "rate", "copies"])
+            rate, _ = _rates(_matrix(batch.column("p"), len(DOMAINS)), steps, clean, MAX_RATE * times)
+            chance = (batch.column(draw).to_numpy().view(np.uint64) >> np.uint64(11)) * 2.0**-53
+            copies = np.floor(rate) + (chance < rate - np.floor(rate))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(rate), pa.array(copies.astype(np.int64))], names=[*columns, "rate", "copies"])
 
-    return members.mapInArrow(per_batch, widened(members.schema, "rate double, copies long"))
+    return members.mapInArrow(per_batch, widened(members.drop(draw).schema, "rate double, copies long"))
