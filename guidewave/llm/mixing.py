@@ -5,7 +5,7 @@ document its posterior p.  A document of t tokens taken at rate r adds r t p to
 the domains' expected token totals.  The rates minimise the squared distance of
 those totals from the targets, by projected gradient steps from rate 1; a step
 moves a document by its posterior times the residual, and rates are kept
-between 0 and MAX_RATE, or between 1 and a multiple of MAX_RATE for clean documents.  Only the residual (one number per domain) goes to the driver.
+between 0 and MAX_RATE, or between 1 and MAX_RATE for clean documents.  Only the residual (one number per domain) goes to the driver.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from .textruns import lower_table, row_of, row_slices, run_classes, run_hashes,
 DOMAINS = ("plain", "good", "toxic")
 #: shares of the tokens to come from each domain where the caller names none
 TARGETS = {"plain": 0.15, "good": 0.85, "toxic": 0.0}
-#: a document is taken this often at most, times the growth of the budget
+#: a document is taken this often at most
 MAX_RATE = 4.0
 FEATURE_BITS = 18
 #: standard errors by which a feature's rate in a domain must differ to count
@@ -253,7 +253,7 @@ def fit(members: DataFrame, shares: Sequence[float], tolerance: float = TOLERANC
     while True:
         steps.append(np.append((total - target) / scale, HOLD) / (curvature + HOLD))
         last = total
-        total, _ = _totals(members, steps, width, clean, MAX_RATE * times)
+        total, _ = _totals(members, steps, width, clean)
         if np.abs(total - last).max() <= tolerance * budget:
             return steps
 
@@ -284,7 +284,7 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] |
 
     def per_batch(batches):
         for batch in batches:
-            rate, _ = _rates(_matrix(batch.column("p"), len(DOMAINS)), steps, clean, MAX_RATE * times)
+            rate, _ = _rates(_matrix(batch.column("p"), len(DOMAINS)), steps, clean)
             chance = (batch.column(draw).to_numpy().view(np.uint64) >> np.uint64(11)) * 2.0**-53
             copies = np.floor(rate) + (chance < rate - np.floor(rate))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(rate), pa.array(copies.astype(np.int64))], names=[*columns, "rate", "copies"])
