@@ -1,13 +1,13 @@
-"""Registered queries of the ten operators; each reads its whole tables."""
+"""Registered queries of the corpus operators; each reads its whole tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, mixing, pii, secrets, sharding, simhash, suffix_lm, winnowing
+from . import decontaminate, language, licenses, merkle, mixing, pii, secrets, sharding, simhash, suffix_lm, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -148,3 +148,48 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"))
+
+
+def _written(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_written, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+def _crc32(value: str) -> str:
+    """CRC-32 of an ASCII text as SQL, bit by bit over its bytes."""
+    step = "CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END"
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({value}, ''), lambda c: ascii(c)::BIGINT)),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: {step})), 4294967295)"""
+
+
+@query("op11_merkle_manifest", f"""
+WITH RECURSIVE raw AS (SELECT *, {_leaf('n_chars')} AS leaf FROM documents),
+d AS (SELECT row_number() OVER () AS r, doc_id, lang, leaf, CASE WHEN coalesce({_crc32('CAST(doc_id AS VARCHAR)')} % 7 = 0, false) THEN {_leaf('n_chars + 1')} ELSE leaf END AS claimed,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n FROM raw),
+t(lang, level, place, digest, n) AS (SELECT lang, 0, place, leaf, n FROM d
+    UNION ALL SELECT lang, level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (max(n) + 1) // 2 FROM t WHERE n > 1 GROUP BY lang, level, place // 2),
+s AS (SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM t WHERE n = 1),
+u(level, place, digest, n) AS (SELECT 0, place, subroot, n FROM s
+    UNION ALL SELECT level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (max(n) + 1) // 2 FROM u WHERE n > 1 GROUP BY level, place // 2),
+steps AS (
+    SELECT r, 0 AS part, v.level, v.place % 2 AS side, x.digest FROM d JOIN t v ON v.lang IS NOT DISTINCT FROM d.lang AND v.place = d.place >> v.level AND v.n > 1
+        LEFT JOIN t x ON x.lang IS NOT DISTINCT FROM v.lang AND x.level = v.level AND x.place = xor(v.place, 1)
+    UNION ALL SELECT r, 1, v.level, v.place % 2, x.digest FROM d JOIN s ON s.lang IS NOT DISTINCT FROM d.lang JOIN u v ON v.place = s.place >> v.level AND v.n > 1
+        LEFT JOIN u x ON x.level = v.level AND x.place = xor(v.place, 1)),
+w AS (SELECT r, list(side || coalesce(digest, '') ORDER BY part, level) AS path, string_agg(coalesce(digest, ''), '' ORDER BY part, level) AS siblings FROM steps GROUP BY r),
+f AS (SELECT doc_id, leaf, lang, coalesce(siblings, '') AS siblings,
+        list_reduce(list_prepend(claimed, coalesce(path, [])), lambda x, y: sha256(CASE WHEN y[1] = '1' THEN y[2:] || x ELSE x || y[2:] END)) AS folded_root FROM d LEFT JOIN w USING (r))
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM f JOIN s ON s.lang IS NOT DISTINCT FROM f.lang, (SELECT digest AS root FROM u WHERE n = 1)""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = merkle.manifest(docs, docs["n_chars"] + F.when(divisible(docs["doc_id"], 7), 1).otherwise(0))
+    found = found.withColumn("folded_root", merkle.folded(F.col("claimed"), F.col("witness")))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("witness")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def divisible(number: Column, by: int) -> Column:
+    return F.coalesce(F.crc32(number.cast("string").cast("binary")) % by == 0, F.lit(False))
