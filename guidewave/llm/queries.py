@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, merkle, mixing, pii, secrets, sharding, simhash, suffix_lm, winnowing
+from ..functions.session import cut_lineage, shared_path
+from . import conversations, decontaminate, language, licenses, merkle, mixing, pii, secrets, sharding, simhash, suffix_lm, warc, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -193,3 +194,67 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def divisible(number: Column, by: int) -> Column:
     return F.coalesce(F.crc32(number.cast("string").cast("binary")) % by == 0, F.lit(False))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """``conversations`` after the stated damage; nulls of role and text are one space."""
+    said = lambda c: F.coalesce(rows[c].cast("string"), F.lit(" "))
+    k = F.crc32(F.concat(said("conv_id"), F.lit(":"), said("turn")).cast("binary")) % 20
+    text = F.when(k == 1, "").when(k == 2, F.translate(said("text"), ".!?", "")).otherwise(said("text"))
+    copies = F.explode(F.when(k == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return rows.where(k != 0).select("conv_id", "turn", F.when(k == 4, "user").otherwise(said("role")).alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+_TRIM = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+#: (role, must go, from, to, cost, letters): an edit of one row with the inserts before it
+_EDITS = ", ".join(
+    f"('{role}', {str(gone).lower()}, {i}, {j}, {step[0]}, '{conversations.flat(step[1])}')"
+    for role in conversations.ROLES for gone in (False, True)
+    for i, row in enumerate(conversations.terminal(role, "blank" if gone else "none")) for j, step in enumerate(row) if step is not None)
+_ENDS = ", ".join(f"({i}, {j}, {step[0]}, '{conversations.flat(step[1])}')" for i, row in enumerate(conversations.inserts()) for j, step in enumerate(row) if step is not None)
+
+
+@query("op12_conversation_repair", f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS k FROM conversations),
+g AS (SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE k WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM k WHERE k <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) - 1 AS place, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again, right(rtrim(text, {_TRIM}), 1) AS last FROM g),
+f AS (SELECT *, CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'x' END AS initial, CASE WHEN last = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault FROM o),
+h AS (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY place) || initial AS pair FROM f),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM h GROUP BY conv_id),
+e(initial, gone, i, j, cost, letters) AS (VALUES {_EDITS}),
+z(i, j, cost, letters) AS (VALUES {_ENDS}),
+p(conv_id, place, state, best) AS (SELECT conv_id, 0, 0, {{'cost': 0, 'audit': ''}} FROM c
+    UNION ALL SELECT p.conv_id, p.place + 1, e.j, min({{'cost': p.best.cost + e.cost + CASE WHEN f.fault = 'truncated' AND NOT contains(e.letters, 'D') THEN {conversations.TRUNCATED_COST} ELSE 0 END, 'audit': p.best.audit || e.letters}})
+        FROM p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.place = p.place JOIN e ON e.initial = f.initial AND e.gone = (f.fault IN ('blank', 'duplicate')) AND e.i = p.state GROUP BY p.conv_id, p.place, e.j),
+b AS (SELECT p.conv_id, min({{'cost': p.best.cost + z.cost, 'audit': p.best.audit || z.letters}}) AS best FROM p JOIN c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND p.place = c.n JOIN z ON z.i = p.state WHERE z.j IN (0, 3) GROUP BY p.conv_id),
+l AS (SELECT conv_id, best.audit AS audit, unnest(range(1, length(best.audit) + 1)) AS spot FROM b),
+m AS (SELECT conv_id, spot, audit[spot] AS letter, count(*) FILTER (audit[spot] <> 'I') OVER (PARTITION BY conv_id ORDER BY spot) - 1 AS place, count(*) FILTER (audit[spot] <> 'D') OVER (PARTITION BY conv_id ORDER BY spot) AS kept FROM l),
+q AS (SELECT m.*, f.role, f.text, f.initial, bool_or(kept = 1 AND letter = 'K' AND f.initial = 's') OVER (PARTITION BY m.conv_id) AS led FROM m LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM m.conv_id AND f.place = m.place AND m.letter <> 'I' WHERE letter <> 'D'),
+r AS (SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role ELSE CASE WHEN (kept - led::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY spot)) AS repaired FROM q GROUP BY conv_id)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+       coalesce(best.audit, '') AS audit, coalesce(repaired, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM a.conv_id""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    original = table(spark, sf_dir, "conversations")
+    rows = damaged(original)
+    found = cut_lineage(conversations.repairs(rows))
+    digests = conversations.repaired_digests(rows, found.select("key", "audit"))
+    every = original.groupBy("conv_id").agg(F.count("*").alias("rows"))
+    every = every.select("conv_id", conversations.conversation_key(F.col("conv_id")).alias("key"))
+    whole = every.join(found.drop("conv_id"), "key", "left").join(digests, "key", "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return whole.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+@query("op13_warc_archive", f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+g AS (SELECT page_id, payload_bytes, sha256(html) AS payload_digest, first_value(page_id) OVER w AS first_page, row_number() OVER w > 1 AND payload_bytes >= {warc.REVISIT_BYTES} AS revisit
+      FROM p WINDOW w AS (PARTITION BY html ORDER BY page_id NULLS LAST))
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN revisit THEN first_page END AS refers_to FROM g""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, path = table(spark, sf_dir, "pages"), shared_path(spark, "warc")
+    warc.write_archive(pages, path)
+    kind = pages.schema["page_id"].dataType
+    found = warc.read_archive(spark, path, payloads=False)
+    return found.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_page").cast(kind).alias("refers_to"))
