@@ -1,4 +1,4 @@
-"""Graph communities and agglomerative modules as rounds of joins."""
+"""Agglomerative modules as rounds of joins, and the modularity of a partition."""
 
 from __future__ import annotations
 
@@ -10,8 +10,6 @@ from pyspark.sql import Window as W
 
 from ..functions.session import cut_lineage
 
-#: rounds of local moving before a smaller part of the nodes moves at once
-_ROUNDS_PER_PART = 8
 LINKAGES = ("average", "complete", "single", "weighted", "ward")
 
 
@@ -110,60 +108,6 @@ def default_module_count(n_items: int) -> int:
 
 # ---- communities
 
-def communities(edges: DataFrame, resolution: float = 1.0, seed: int = 0) -> DataFrame:
-    """Modularity communities (cell_id, cluster) of an undirected weighted graph; clusters numbered by size.
-
-    Local moving in rounds: every node scores its neighbouring communities, and a
-    hash-chosen part of the nodes moves at once.  The part shrinks from a half as
-    rounds go on, so nodes that keep swapping come to move apart, and a level
-    ends when all parts have had their turn and none moved.  Then communities
-    become nodes of a smaller graph, until a level changes nothing.
-    ``edges(src, dst, weight)`` may list an edge in one or both directions.
-    """
-    e = edges.where("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), "weight").groupBy("a", "b").agg(F.max("weight").alias("w"))
-    graph = cut_lineage(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "w")))
-    total = graph.agg(F.sum("w").alias("t")).first()["t"]
-    label = cut_lineage(graph.select(F.col("a").alias("cell_id")).distinct().withColumn("node", F.col("cell_id")))
-    while True:
-        settled, changed = _local_moving(graph, resolution, total, seed)
-        if not changed:
-            break
-        label = cut_lineage(label.join(settled, "node").select("cell_id", F.col("com").alias("node")))
-        folded = graph.join(settled.select(F.col("node").alias("a"), F.col("com").alias("ca")), "a").join(settled.select(F.col("node").alias("b"), F.col("com").alias("cb")), "b")
-        graph = cut_lineage(folded.groupBy(F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("w").alias("w")))
-    sizes = label.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-    order = W.orderBy(F.col("n").desc(), F.col("node"))  # one row per community
-    numbered = sizes.withColumn("cluster", (F.row_number().over(order) - 1).cast("string"))
-    return label.join(numbered, "node").select("cell_id", "cluster")
-
-
-def _local_moving(graph: DataFrame, resolution: float, total: float, seed: int) -> tuple[DataFrame, bool]:
-    degree = cut_lineage(graph.groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("k")))
-    com = degree.select("node", F.col("node").alias("com"))
-    changed, idle = False, 0
-    parts = 2
-    for step in itertools.count():
-        mass = degree.join(com, "node").groupBy("com").agg(F.sum("k").alias("mass"))
-        links = graph.where("a <> b").join(com.select(F.col("node").alias("b"), F.col("com").alias("near")), "b").groupBy(F.col("a").alias("node"), F.col("near").alias("com2")).agg(F.sum("w").alias("to"))
-        stay = com.select("node", F.col("com").alias("com2"), F.lit(0.0).alias("to"))
-        options = links.unionByName(stay).groupBy("node", "com2").agg(F.sum("to").alias("to")).join(com, "node").join(degree, "node").join(mass.select(F.col("com").alias("com2"), "mass"), "com2")
-        own = F.col("com2") == F.col("com")
-        rest = F.col("mass") - F.when(own, F.col("k")).otherwise(0.0)
-        gain = F.round(F.col("to") - F.lit(resolution) * F.col("k") * rest / F.lit(float(total)), 9)
-        best = options.withColumn("g", gain).groupBy("node", "com").agg(F.max(F.struct("g", own.cast("int").alias("o"), F.col("com2"))).alias("_b"))
-        turn = F.pmod(F.xxhash64(F.col("node"), F.lit(seed + parts)), F.lit(parts)) == step % parts
-        moved = cut_lineage(best.select("node", F.when(turn, F.col("_b.com2")).otherwise(F.col("com")).alias("com"), (turn & (F.col("_b.com2") != F.col("com"))).alias("_m")))
-        com = moved.select("node", "com")
-        if moved.where("_m").isEmpty():
-            idle += 1
-            if idle == parts:
-                return com, changed
-        else:
-            changed, idle = True, 0
-            if step % _ROUNDS_PER_PART == _ROUNDS_PER_PART - 1:
-                parts += 1
-
-
 def modularity(edges: DataFrame, clusters: DataFrame, resolution: float = 1.0) -> DataFrame:
     """Modularity of a partition (one row)."""
     e = edges.where("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), "weight").groupBy("a", "b").agg(F.max("weight").alias("w"))

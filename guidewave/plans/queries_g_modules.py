@@ -358,11 +358,6 @@ def graph(spark, sf):
     return V.edges(spark, sf, 14).select("src", "dst", F.lit(1.0).alias("weight"))
 
 
-@register("ml_07_graph_communities")
-def ml_07(spark, sf):
-    return GR.communities(graph(spark, sf))
-
-
 @register("ml_07_modularity", """WITH e AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM knn30 WHERE rank <= 14), j AS (SELECT x.cluster AS ca, y.cluster AS cb FROM e JOIN vectors x ON x.cell_id = e.a JOIN vectors y ON y.cell_id = e.b), k AS (SELECT c, count(*) AS k FROM (SELECT ca AS c FROM j UNION ALL SELECT cb FROM j) GROUP BY 1)
     SELECT round((SELECT count(*) FILTER (ca = cb) / count(*) FROM j) - (SELECT sum(k * k) FROM k) / (4.0 * (SELECT count(*) FROM j) ** 2), 6) AS modularity""".replace("WITH e AS", "SELECT * FROM (WITH e AS", 1) + ")")
 def ml_07b(spark, sf):

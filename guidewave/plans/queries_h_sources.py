@@ -326,7 +326,7 @@ def agg_40(spark, sf):
     return _round(PF.column_profile(S.cell_metadata(spark, sf), ["condition", "pos"]), "mean", digits=4)
 
 
-@register("agg_40_level_counts", "SELECT 'condition' AS \"column\", condition AS level, count(*) AS n FROM meta GROUP BY 2 UNION ALL SELECT 'sample', sample, count(*) FROM meta GROUP BY 2")
+@register("agg_40_level_counts", "SELECT 'condition' AS \"column\", condition AS level, count(*) AS n FROM meta GROUP BY 2 UNION ALL SELECT 'sample', sample, count(*) FROM meta GROUP BY 2 UNION ALL SELECT 'pos', CAST(pos AS VARCHAR), count(*) FROM meta GROUP BY 2")
 def agg_40b(spark, sf):
     return PF.level_counts(S.cell_metadata(spark, sf), ["condition", "sample", "pos"])
 

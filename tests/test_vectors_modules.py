@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from guidewave.operators import communities as C
 from guidewave.operators import concordance as CO
 from guidewave.operators import distances as D
 from guidewave.operators import embedding as B
@@ -221,7 +222,7 @@ def test_communities_find_planted_partition(spark):
     rng = np.random.default_rng(0)
     rows = [(i, j, 1.0) for i in range(45) for j in range(i + 1, 45) if rng.random() < (0.6 if i // 15 == j // 15 else 0.03)]
     edges = spark.createDataFrame(rows, "src int, dst int, weight double")
-    found = GR.communities(edges)
+    found = C.communities(edges)
     both = found.withColumn("truth", F.floor(F.col("cell_id") / 15))
     assert MO.partition_agreement(both, "cluster", "truth").first()["ari"] > 0.9
     assert GR.modularity(edges, found).first()["modularity"] > 0.4
