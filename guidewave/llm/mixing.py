@@ -21,8 +21,8 @@ from ..functions.session import cut_lineage
 from .textruns import lower_table, row_of, row_slices, run_classes, run_hashes, runs, text_bytes, widened
 
 DOMAINS = ("plain", "good", "toxic")
-#: shares of the tokens to come from each domain where the caller names none
-TARGETS = {"plain": 0.15, "good": 0.85, "toxic": 0.0}
+#: shares of the tokens to come from each domain where the caller names none: more plain text than the tables hold
+TARGETS = {"plain": 0.25, "good": 0.75, "toxic": 0.0}
 #: a document is taken this often at most
 MAX_RATE = 4.0
 FEATURE_BITS = 18
@@ -33,7 +33,7 @@ SAMPLE_ROWS = 20_000
 FIT_STEPS, RIDGE = 200, 1.0
 TOLERANCE = 1e-3
 #: pull of every rate towards 1, against the pull of the targets
-HOLD = 0.05
+HOLD = 0.01
 _SLICE = 4 << 20
 
 
@@ -129,8 +129,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     become lists of features before they meet the labels, so that only these
     move; the labelled ones are written once.  Which features tell domains apart
     is counted over all labelled rows of ``docs``, by Spark; a logistic regression on these is fitted to ``sample_rows``
-    labelled rows at most, those of the smallest hashes of their ids (rows of
-    one id go together).
+    labelled rows at most, those of the smallest hashes of their ids, then of
+    their features.
     """
     kept = docs.select("doc_id", docs["text"].cast("string").alias("text")).where("doc_id is not null")
     features = kept.mapInArrow(_extracted, f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, features array<int>")
@@ -151,7 +151,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(at[at >= 0]))], ["domain", "features"])
 
-    chosen = own.where(F.col("key") <= last).orderBy("key", "domain", F.size("features")).select("domain", "features").mapInArrow(told, "domain int, features array<int>").toArrow()
+    # rows of one id may be many: among equal keys a hash of the features decides
+    first = own.where(F.col("key") <= last).withColumn("tie", F.xxhash64("features")).orderBy("key", "domain", "tie").limit(sample_rows)
+    chosen = first.select("domain", "features").mapInArrow(told, "domain int, features array<int>").toArrow()
     lists, domain = chosen["features"].combine_chunks(), chosen["domain"].to_numpy()
     del chosen
     row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
@@ -232,9 +234,9 @@ def fit(members: DataFrame, shares: Sequence[float], tolerance: float = TOLERANC
 
     The budget is ``times`` the tokens outside domains with share 0, so with 1
     the rest keeps about its size; documents of the domains that ``clean``
-    marks keep a rate of 1 or more.  The squared gaps are weighted by the domains' own sums of
-    t p p, so that a small domain converges as fast as a large one; the step is
-    one over the largest curvature in that scale, with momentum.  ``HOLD`` ties
+    marks keep a rate of 1 or more.  All domains count in one scale, so that stray
+    posteriors of a domain without a share do not decide which documents repeat;
+    the step is one over the largest curvature, with momentum.  ``HOLD`` ties
     every rate to 1, so that a target which cannot be met (a share of 0 with
     uncertain posteriors) takes the documents most likely of that domain, not
     all a little.  Steps end when no total moves by ``tolerance`` of the budget.
@@ -247,11 +249,10 @@ def fit(members: DataFrame, shares: Sequence[float], tolerance: float = TOLERANC
         return []
     budget *= times
     target = wanted * budget
-    scale = np.maximum(np.diag(square), 1e-12 * np.trace(square))
-    curvature = np.linalg.eigvalsh(square / np.sqrt(np.outer(scale, scale)))[-1]
+    curvature = np.linalg.eigvalsh(square)[-1]
     steps: list[np.ndarray] = []
     while True:
-        steps.append(np.append((total - target) / scale, HOLD) / (curvature + HOLD))
+        steps.append(np.append((total - target) / curvature, HOLD) / (1 + HOLD))
         last = total
         total, _ = _totals(members, steps, width, clean)
         if np.abs(total - last).max() <= tolerance * budget:
