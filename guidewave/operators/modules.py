@@ -4,28 +4,78 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.scalars import ratio
+from ..functions.session import cut_lineage
 from .grids import complete
 from .grouping import agglomerate, cut_tree
 
 
-def correlation_matrix(table: DataFrame, row: str, column: str, value: str, method: str = "pearson") -> DataFrame:
-    """Correlation of every pair of rows a < b over their shared columns.
+#: rows of a panel in one block of a Gram product
+BLOCK_ITEMS = 256
 
-    Rows are a panel (targets, genes, proteins); pairs meet by an equi-join on the
-    column, and only sums travel onwards.
+
+def correlation_matrix(table: DataFrame, row: str, column: str, value: str, method: str = "pearson", block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """Correlation r of every pair of rows a < b over their shared columns; null where fewer than two are shared or one row is constant there.
+
+    Rows are a panel (targets, genes, proteins).  They are centred, packed in blocks as
+    dense matrices with a mask of the values that are there, and every pair of blocks is
+    a few matrix products, so what moves is each block once per other block, not
+    a row per pair and column.
     """
     x = table.select(F.col(row).alias("_row"), F.col(column).alias("_col"), F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
     if method == "spearman":
         w = W.partitionBy("_row").orderBy("_v")  # one row of a panel: as long as its column list
         x = x.withColumn("_v", F.rank().over(w) + (F.count(F.lit(1)).over(W.partitionBy("_row", "_v")) - 1) / 2.0)
-    a = x.select(F.col("_row").alias("a"), "_col", F.col("_v").alias("_x"))
-    b = x.select(F.col("_row").alias("b"), "_col", F.col("_v").alias("_y"))
-    return a.join(b, "_col").where("a < b").groupBy("a", "b").agg(F.corr("_x", "_y").alias("r"))
+    x = cut_lineage(x)
+    rows = x.groupBy("_row").agg(F.avg("_v").alias("_mean")).withColumn("_i", F.row_number().over(W.orderBy("_row")) - 1)  # the panel
+    columns = x.select("_col").distinct().withColumn("_j", F.row_number().over(W.orderBy("_col")) - 1)  # the other panel
+    width = columns.count()
+    last = (rows.count() - 1) // block_items
+    placed = x.join(rows, "_row").join(columns, "_col").select(F.floor(F.col("_i") / block_items).cast("int").alias("block"), (F.col("_i") % block_items).cast("int").alias("i"), F.col("_j").cast("int").alias("j"), F.col("_row").alias("name"), (F.col("_v") - F.col("_mean")).alias("v"))
+    name_type = x.schema["_row"].dataType.simpleString()
+
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        n = int(part["i"].max()) + 1
+        block, mask = np.zeros((n, width)), np.zeros((n, width), np.uint8)
+        block[part["i"], part["j"]] = part["v"]
+        mask[part["i"], part["j"]] = 1
+        names = part.drop_duplicates("i").sort_values("i")["name"].tolist()
+        return pd.DataFrame({"block": [part["block"].iloc[0]], "names": [names], "x": [block.tobytes()], "mask": [np.packbits(mask).tobytes()]})
+
+    blocks = cut_lineage(placed.groupBy("block").applyInPandas(pack, f"block int, names array<{name_type}>, x binary, mask binary"))
+
+    def side(own: str, other: str, partners: Column) -> DataFrame:
+        return blocks.select(F.col("block").alias(own), F.explode(partners).alias(other), *[F.col(c).alias(f"{c}_{own}") for c in ("names", "x", "mask")])
+
+    pairs = side("a", "b", F.sequence(F.col("block"), F.lit(last))).join(side("b", "a", F.sequence(F.lit(0), F.col("block"))), ["a", "b"])
+
+    def unpack(x: bytes, mask: bytes) -> tuple[np.ndarray, np.ndarray]:
+        block = np.frombuffer(x).reshape(-1, width)
+        return block, np.unpackbits(np.frombuffer(mask, np.uint8), count=block.size).reshape(block.shape).astype(float)
+
+    def products(parts):
+        for part in parts:
+            for r in part.itertuples(index=False):
+                (x, p), (y, q) = unpack(r.x_a, r.mask_a), unpack(r.x_b, r.mask_b)
+                n, sx, sy, sxx, syy = p @ q.T, x @ q.T, p @ y.T, (x * x) @ q.T, p @ (y * y).T
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    xx, yy = sxx - sx * sx / n, syy - sy * sy / n
+                    corr = (x @ y.T - sx * sy / n) / np.sqrt(xx * yy)
+                    flat = ~((xx > 1e-12 * sxx) & (yy > 1e-12 * syy) & (n > 1))
+                corr = np.where(flat, np.nan, np.clip(corr, -1.0, 1.0))
+                i, j = np.nonzero(n > 0)
+                if r.a == r.b:
+                    i, j = i[i < j], j[i < j]
+                yield pd.DataFrame({"a": np.asarray(r.names_a)[i], "b": np.asarray(r.names_b)[j], "r": corr[i, j]})
+
+    found = pairs.mapInPandas(products, f"a {name_type}, b {name_type}, r double")
+    return found.select("a", "b", F.when(~F.isnan("r"), F.col("r")).alias("r"))
 
 
 def correlation_distance(correlations: DataFrame) -> DataFrame:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions.ordering import bh_adjust, exact_quantiles, hash_rank
+from ..functions.ordering import bh_adjust, exact_quantiles
 from ..functions.scalars import ratio
+from ..functions.session import cut_lineage
+from .draws import cell_key, coefficients, edge_counts, thresholds
 from .grids import complete
 from .labels import CONTROL, is_perturbed, is_reference
 
@@ -111,26 +114,24 @@ def sample_support(table: DataFrame) -> DataFrame:
 def permutation_null(cells: DataFrame, edges: DataFrame, k: int, control_classes: Sequence[str], n_permutations: int, seed: int = 0, min_cells: int = 10) -> DataFrame:
     """Null mean and sd of the own-cell score under random labels, z-score, empirical p and FDR.
 
-    One hash order of all cells per permutation serves every target: target t's
-    draw is the first n_t cells, and an edge counts for t when both ends are among
-    them.  So each (edge, permutation) is reduced to the later of its two ranks and
-    the counts per target follow by accumulation over the sorted n_t.
+    One order of all cells per permutation serves every target: target t's draw is the
+    first n_t cells, and an edge counts for t when both ends are among them, so the
+    counts per target accumulate over the sorted n_t.  Orders are never written: tasks
+    evaluate them from the ids of their edges (see ``draws``).
     """
     tagged, shares = _labelled(cells, control_classes, min_cells)
     targets = shares.where(F.col("label") != CONTROL_LABEL)
-    draws = cells.select("cell_id").withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(n_permutations))))
-    digest = F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col("perm").cast("string"), F.col("cell_id").cast("string")), 256)
-    ranked = hash_rank(draws.withColumn("_h", digest), ["perm"], "_h").select("perm", "cell_id", "draw")
-    pairs = edges.select("src", "dst").join(ranked.select(F.col("cell_id").alias("src"), "perm", F.col("draw").alias("_a")), "src")
-    pairs = pairs.join(ranked.select(F.col("cell_id").alias("dst"), "perm", F.col("draw").alias("_b")), ["dst", "perm"])
-    levels = targets.agg(F.sort_array(F.collect_set("n_label")).alias("_levels"))  # at most one entry per target
-    placed = pairs.crossJoin(F.broadcast(levels)).withColumn("level", F.get(F.filter("_levels", lambda v: v >= F.greatest("_a", "_b")), F.lit(0)))
-    hits = placed.where(F.col("level").isNotNull()).groupBy("perm", "level").agg(F.count(F.lit(1)).alias("_n"))
-    perms = cells.sparkSession.range(1, n_permutations + 1).select(F.col("id").cast("int").alias("perm"))
-    grid = complete(perms, targets.select(F.col("n_label").alias("level")), "level").join(hits, ["perm", "level"], "left")
+    sizes = np.array([r[0] for r in targets.select("n_label").distinct().orderBy("n_label").collect()], np.int64)  # at most one per target
+    rows = coefficients(n_permutations, seed)
+    limits = thresholds(cut_lineage(cells.select(cell_key(F.col("cell_id")))), rows, sizes)
+    hits = edge_counts(edges, rows, limits).withColumnRenamed("n", "_n")
+    spark = cells.sparkSession
+    perms = spark.range(1, n_permutations + 1).select(F.col("id").cast("int").alias("perm"))
+    steps = spark.createDataFrame([(i, int(n)) for i, n in enumerate(sizes)], "level int, n_label long")
+    grid = complete(perms, steps.select("level"), "level").join(hits, ["perm", "level"], "left")
     upto = F.sum(F.coalesce("_n", F.lit(0))).over(W.partitionBy("perm").orderBy("level"))
-    null = grid.withColumn("_upto", upto).join(targets.select("label", F.col("n_label").alias("level"), "share"), "level")
-    null = null.withColumn("null_mean_score", F.col("_upto") / k / F.col("level") / F.col("share") - 1)
+    null = grid.withColumn("_upto", upto).join(F.broadcast(steps), "level").join(targets.select("label", "n_label", "share"), "n_label")
+    null = null.withColumn("null_mean_score", F.col("_upto") / k / F.col("n_label") / F.col("share") - 1)
     own = own_scores(cells, edges, k, control_classes, min_cells).groupBy("label").agg(F.avg("score").alias("observed"))
     stats = null.join(own, "label").groupBy("label").agg(
         F.first("observed").alias("observed"), F.avg("null_mean_score").alias("null_mean"), F.stddev_samp("null_mean_score").alias("null_sd"),

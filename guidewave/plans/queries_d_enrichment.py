@@ -125,14 +125,14 @@ def stat_09(spark, sf):
 
 _PERM = """WITH t AS (SELECT target, count(*) AS r FROM vectors WHERE target <> 'NT' GROUP BY 1), k AS (SELECT cluster, count(*) AS c, sum(count(*)) OVER (ORDER BY cluster) / sum(count(*)) OVER () AS hi FROM vectors WHERE target <> 'NT' GROUP BY 1),
     obs AS (SELECT sum(o * o / (r * c)) AS q FROM (SELECT target, cluster, CAST(count(*) AS DOUBLE) AS o FROM vectors WHERE target <> 'NT' GROUP BY 1, 2) x JOIN t USING (target) JOIN k USING (cluster)),
-    draws AS (SELECT perm, target, (SELECT min(cluster) FROM k WHERE hi > u) AS cluster FROM (SELECT i AS perm, target, CAST(('0x' || substr(sha256('0|' || i || '|' || cell_id), 1, 12)) AS BIGINT) / 281474976710656.0 AS u FROM vectors, range(1, 51) AS g(i) WHERE target <> 'NT')),
+    draws AS (SELECT perm, target, (SELECT min(cluster) FROM k WHERE hi > u) AS cluster FROM (SELECT i AS perm, target, CAST(('0x' || substr(sha256('0|' || i || '|' || cell_id), 1, 12)) AS BIGINT) / 281474976710656.0 AS u FROM vectors, range(1, 1001) AS g(i) WHERE target <> 'NT')),
     sim AS (SELECT perm, target, cluster, CAST(count(*) AS DOUBLE) AS o FROM draws GROUP BY ALL), q AS (SELECT perm, sum(o * o / (r * c)) AS q FROM sim JOIN t USING (target) JOIN (SELECT perm, cluster, sum(o) AS c FROM sim GROUP BY 1, 2) USING (perm, cluster) GROUP BY 1)
     SELECT count(*) FILTER (q.q >= obs.q) AS n_ge, count(*) AS n_permutations, (count(*) FILTER (q.q >= obs.q) + 1) / (count(*) + 1) AS p_permutation FROM q, obs"""
 
 
 @register("stat_09_omnibus_permutation", "SELECT * FROM (" + _PERM + ")")
 def stat_09b(spark, sf):
-    return E.omnibus_permutation(cells(spark, sf), 50)
+    return E.omnibus_permutation(cells(spark, sf), 1000)
 
 
 @register("agg_22_cluster_counts", "SELECT cluster, sample, count(*) AS n_cells FROM vectors GROUP BY 1, 2")

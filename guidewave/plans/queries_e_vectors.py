@@ -15,6 +15,7 @@ from .registry import SUBQUERIES, register
 
 CLASSES = ["non_targeting"]
 K = 30
+N_PERMUTATIONS = 1000
 
 SUBQUERIES.update({
     "knn30": "SELECT src, dst, dist, rank FROM (SELECT a.cell_id AS src, b.cell_id AS dst, list_distance(a.vec, b.vec) AS dist, row_number() OVER (PARTITION BY a.cell_id ORDER BY list_distance(a.vec, b.vec), b.cell_id) AS rank FROM vectors a JOIN vectors b ON a.cell_id <> b.cell_id) WHERE rank <= 30",
@@ -91,7 +92,10 @@ def agg_34c(spark, sf):
     return _round(H.sample_support(H.by_sample(cells(spark, sf), edges(spark, sf), K, CLASSES)), "max_sample_share")
 
 
-_NULL = """WITH ranks AS (SELECT i AS perm, cell_id, row_number() OVER (PARTITION BY i ORDER BY sha256('0|' || i || '|' || cell_id)) AS draw FROM vectors, range(1, 21) AS g(i)),
+_FIELD = "CAST(('0x' || substr(sha256({}), 1, 13)) AS BIGINT) % 2147483647"
+_NULL = f"""WITH g AS (SELECT i AS perm, {_FIELD.format("'0|' || i || '|0'")} AS a, {_FIELD.format("'0|' || i || '|1'")} AS b, {_FIELD.format("'0|' || i || '|2'")} AS c, {_FIELD.format("'0|' || i || '|3'")} AS d FROM range(1, {N_PERMUTATIONS + 1}) AS r(i)),
+    x AS (SELECT cell_id, {_FIELD.format("CAST(cell_id AS VARCHAR)")} AS x FROM vectors),
+    ranks AS (SELECT perm, cell_id, rank() OVER (PARTITION BY perm ORDER BY v) AS draw FROM (SELECT perm, cell_id, (((a * x + b) % 2147483647 * x + c) % 2147483647 * x + d) % 2147483647 AS v FROM g, x)),
     e AS (SELECT a.perm, greatest(a.draw, b.draw) AS m FROM knn30 k JOIN ranks a ON a.cell_id = k.src JOIN ranks b ON b.cell_id = k.dst AND b.perm = a.perm),
     t AS (SELECT target, count(*) AS n, count(*) / (SELECT count(*) FROM vectors) AS share FROM vectors WHERE target <> 'NT' GROUP BY 1),
     nul AS (SELECT target, perm, count(*) FILTER (m <= n) / 30.0 / max(n) / max(share) - 1 AS s FROM e CROSS JOIN t GROUP BY 1, 2), obs AS (SELECT target, avg(score) AS o FROM loch WHERE own = target GROUP BY 1),
@@ -102,7 +106,7 @@ _NULL = """WITH ranks AS (SELECT i AS perm, cell_id, row_number() OVER (PARTITIO
 
 @register("stat_26_permutation_null", f"SELECT * FROM ({_NULL})")
 def stat_26(spark, sf):
-    out = H.permutation_null(cells(spark, sf), edges(spark, sf), K, CLASSES, 20)
+    out = H.permutation_null(cells(spark, sf), edges(spark, sf), K, CLASSES, N_PERMUTATIONS)
     return _round(_round(out, "observed", "null_mean", "null_sd", "p_empirical", "fdr"), "z_score", digits=5)
 
 

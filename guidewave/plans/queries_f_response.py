@@ -130,7 +130,7 @@ def stat_10(spark, sf):
 
 @register("stat_11_distance_test")
 def stat_11(spark, sf):
-    out = D.perturbation_distance(S.vectors(spark, sf), CLASSES, n_permutations=200, secondary=None)
+    out = D.perturbation_distance(S.vectors(spark, sf), CLASSES, n_permutations=999, secondary=None)
     return _round(out.select("target", "n_cells", "n_control", "energy_distance", "p_value"), "energy_distance", "p_value")
 
 
@@ -147,7 +147,7 @@ def stat_12(spark, sf):
 
 @register("stat_13_perturbation_distance")
 def stat_13(spark, sf):
-    out = D.perturbation_distance(S.vectors(spark, sf), CLASSES, n_permutations=100)
+    out = D.perturbation_distance(S.vectors(spark, sf), CLASSES, n_permutations=999)
     return _round(out, "energy_distance", "p_value", "mmd_distance", "fdr")
 
 

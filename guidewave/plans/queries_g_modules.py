@@ -133,7 +133,7 @@ def vec_pairs(spark, sf):
 
 
 def vec_distance(spark, sf):
-    return S.stored(spark, sf, "distance", lambda: D.perturbation_distance(S.vectors(spark, sf), V.CLASSES, n_permutations=100))
+    return S.stored(spark, sf, "distance", lambda: D.perturbation_distance(S.vectors(spark, sf), V.CLASSES, n_permutations=999))
 
 
 _EDIST = "SELECT p.x AS target, 2 * p.d - xx.d - yy.d AS x FROM m p JOIN m xx ON xx.x = p.x AND xx.y = p.x JOIN m yy ON yy.x = 'NT' AND yy.y = 'NT' WHERE p.y = 'NT' AND p.x <> 'NT'"
@@ -155,7 +155,7 @@ def stat_15(spark, sf):
 
 
 _MANTEL = f"""WITH b AS (SELECT p.target_a, p.target_b, rank() OVER (ORDER BY r.d) AS r1, rank() OVER (ORDER BY p.d) AS r2 FROM ({_PROFILE}) p JOIN pair_dist r ON r.a = p.target_a AND r.b = p.target_b), t AS (SELECT target_a AS t FROM b UNION SELECT target_b FROM b),
-    num AS (SELECT t, row_number() OVER (ORDER BY t) AS i FROM t), sh AS (SELECT k AS perm, t, row_number() OVER (PARTITION BY k ORDER BY sha256('0|' || k || '|' || t)) AS i FROM t, range(1, 51) AS g(k)), map AS (SELECT perm, num.t AS o, sh.t AS n FROM num JOIN sh ON num.i = sh.i),
+    num AS (SELECT t, row_number() OVER (ORDER BY t) AS i FROM t), sh AS (SELECT k AS perm, t, row_number() OVER (PARTITION BY k ORDER BY sha256('0|' || k || '|' || t)) AS i FROM t, range(1, 1000) AS g(k)), map AS (SELECT perm, num.t AS o, sh.t AS n FROM num JOIN sh ON num.i = sh.i),
     perm AS (SELECT x.perm, corr(b.r1, c.r2) AS rho FROM b JOIN map x ON x.o = b.target_a JOIN map y ON y.o = b.target_b AND y.perm = x.perm JOIN b c ON c.target_a = least(x.n, y.n) AND c.target_b = greatest(x.n, y.n) GROUP BY 1)
     SELECT (SELECT count(*) FROM b) AS n_pairs, round((SELECT corr(r1, r2) FROM b), 5) AS mantel_rho, round((1 + count(*) FILTER (rho >= (SELECT corr(r1, r2) FROM b) - 1e-12)) / (1 + count(*)), 6) AS p_permutation FROM perm"""
 
@@ -171,12 +171,12 @@ def stat_31(spark, sf):
 
 @register("stat_14_mantel", f"SELECT * FROM ({_MANTEL})")
 def stat_14(spark, sf):
-    return _round(_round(CO.mantel(vec_pairs(spark, sf), CO.profile_distances(vec_effects(spark, sf)), 50), "mantel_rho", digits=5), "p_permutation")
+    return _round(_round(CO.mantel(vec_pairs(spark, sf), CO.profile_distances(vec_effects(spark, sf)), 999), "mantel_rho", digits=5), "p_permutation")
 
 
 @register("stat_16_geometry_association")
 def stat_16(spark, sf):
-    return _round(CO.geometry_association(vec_pairs(spark, sf), vec_effects(spark, sf), [f"p{i}" for i in range(1, 9)], 20), "mantel_rho", "p_permutation", "fdr")
+    return _round(CO.geometry_association(vec_pairs(spark, sf), vec_effects(spark, sf), [f"p{i}" for i in range(1, 9)], 999), "mantel_rho", "p_permutation", "fdr")
 
 
 _MOD = "SELECT target, CASE WHEN CAST(substr(target, 7) AS INT) % 3 = 0 THEN 'A' WHEN CAST(substr(target, 7) AS INT) % 3 = 1 THEN 'B' ELSE 'C' END AS module FROM (SELECT DISTINCT target FROM peff)"

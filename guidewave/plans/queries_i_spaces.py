@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.session import cut_lineage
 from ..operators import communities as C
 from ..operators import connectivities as CN
+from ..operators import contract as CT
 from ..operators import discriminant as D
 from ..operators import embedding as B
 from ..operators import grouping as GR
@@ -15,7 +16,7 @@ from ..operators import markers as MK
 from ..operators import variable as VG
 from . import queries_e_vectors as V
 from . import screen_tables as S
-from .queries_b_quality import _round
+from .queries_b_quality import _round, rna_qc
 from .queries_c_statistics import R6, genes_seen, lognorm, screened
 from .registry import SUBQUERIES, register
 
@@ -206,3 +207,51 @@ def stat_28c(spark, sf):
     found, gradient = _regression(spark, sf)
     largest = gradient.groupBy("cluster").agg((F.max(F.abs("gradient")) < 1e-5).alias("optimal"))
     return found.groupBy("cluster").agg(F.count("*").alias("n_genes")).join(largest, "cluster")
+
+
+# ---- contract of the processed tables
+
+_CONTRACT_TABLES = {
+    "cells": "(SELECT c.*, total_counts, n_genes_by_counts, pct_counts_mt, pct_counts_ribo FROM cells c JOIN (SELECT cell_id, total_counts, n_genes_by_counts, pct_counts_mt, pct_counts_ribo FROM rna_qc) q ON q.cell_id = c.cell_id)",
+    "expr": "(SELECT cell_id, feature, count, v AS lognorm FROM lognorm)", "genes": "(SELECT DISTINCT feature FROM expr)",
+    "panel": "(SELECT DISTINCT protein, protein LIKE 'N%' AS is_isotype, protein NOT LIKE 'N%' AS used_in_embedding, protein LIKE 'N%' AS used_in_qc FROM protein_counts)",
+    "isotypes": "(SELECT DISTINCT protein FROM protein_counts WHERE protein LIKE 'N%')", "targeting": "(SELECT DISTINCT protein FROM protein_counts WHERE protein NOT LIKE 'N%')",
+    "protein": "(SELECT cell_id, protein, v AS value FROM clr_cell)", "protein_counts": "protein_counts", "guide_counts": "guide_counts", "library": "guide_library",
+}
+_ABSENT = ("steps", "rna_pca", "protein_pca", "variance", "protein_variance", "loadings", "depth")
+
+
+def _rule_sql(rule: CT.Rule) -> str:
+    def row(n: str, example: str, source: str) -> str:
+        bad = "WARN" if rule.warn else "FAIL"
+        return f"SELECT '{rule.name}' AS check, '{rule.table}' AS \"table\", CASE WHEN {n} = 0 THEN 'PASS' ELSE '{bad}' END AS status, CAST({n} AS BIGINT) AS n, CAST({example} AS VARCHAR) AS example FROM {source}"
+
+    own = _CONTRACT_TABLES.get(rule.table)
+    if rule.table in _ABSENT:
+        return f"SELECT '{rule.name}', '{rule.table}', 'SKIPPED', CAST(0 AS BIGINT), NULL"
+    if rule.kind == "row":
+        broken = f"({rule.where}) AND NOT coalesce(({rule.holds}), false)"
+        return row(f"count(*) FILTER ({broken})", f"min({rule.key}) FILTER ({broken})", f"{own} t")
+    if rule.kind == "table":
+        return row(f"CASE WHEN {rule.holds} THEN 0 ELSE 1 END", "NULL", f"{own} t")
+    keys = f"SELECT {rule.key} AS key FROM {own} t WHERE {rule.where}"
+    bad = {
+        "unique": f"{keys} GROUP BY 1 HAVING count(*) > 1",
+        "refers": f"SELECT DISTINCT key FROM ({keys}) WHERE key NOT IN (SELECT {rule.key} FROM {_CONTRACT_TABLES.get(rule.other)} o)",
+        "sums": f"SELECT t.{rule.key} AS key FROM {own} t LEFT JOIN (SELECT {rule.key}, sum({rule.of}) AS s FROM {_CONTRACT_TABLES.get(rule.other)} o GROUP BY 1) o ON o.{rule.key} = t.{rule.key} WHERE abs({rule.holds} - coalesce(s, 0)) > 1e-3",
+    }[rule.kind]
+    return row("count(*)", "min(key)", f"({bad})")
+
+
+def contract_tables(spark, sf) -> dict[str, DataFrame]:
+    qc = rna_qc(spark, sf).select("cell_id", "total_counts", "n_genes_by_counts", "pct_counts_mt", "pct_counts_ribo")
+    isotype = F.col("is_isotype")
+    return CT.with_views({
+        "cells": S.cells(spark, sf).join(qc, "cell_id"), "expr": lognorm(spark, sf), "genes": genes_seen(spark, sf),
+        "panel": S.protein_panel(spark, sf).withColumns({"used_in_embedding": ~isotype, "used_in_qc": isotype}), "protein": V.protein_values(spark, sf),
+        "protein_counts": S.protein_counts(spark, sf), "guide_counts": S.guide_counts(spark, sf), "library": S.guide_library(spark, sf)})
+
+
+@register("dq_08_contract_report", " UNION ALL ".join(map(_rule_sql, CT.screen_rules(genes=25))))
+def dq_08b(spark, sf):
+    return CT.validate(contract_tables(spark, sf), CT.screen_rules(genes=25))

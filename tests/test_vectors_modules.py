@@ -1,6 +1,7 @@
 """Neighbours, distances, geometry, communities and hierarchical modules."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -250,3 +251,39 @@ def test_principal_components(spark):
     assert np.abs(got) == pytest.approx(np.abs(u[:, :3] * s[:3]), abs=1e-6)
     assert [r["ratio"] for r in variance.orderBy("pc").collect()] == pytest.approx(list(s[:3] ** 2 / (s**2).sum()))
     assert loadings.groupBy("pc").agg(F.max_by("value", F.abs("value")).alias("v")).where("v < 0").isEmpty()
+
+
+@pytest.mark.parametrize("method", ["pearson", "spearman"])
+@pytest.mark.parametrize("block", [256, 7])
+def test_blocked_correlations_equal_pairwise_ones(spark, method, block):
+    rng = np.random.default_rng(8)
+    x = rng.normal(100, 1, (23, 11)).round(1)
+    x[4] = 5.0
+    there = rng.random(x.shape) < 0.7
+    there[6] = [True] + [False] * 10
+    there[7] = [False] + [True] * 10
+    rows = [(f"r{i:02d}", f"c{j:02d}", float(x[i, j]) if there[i, j] else None) for i in range(23) for j in range(11)]
+    table = spark.createDataFrame(rows, "item string, column string, v double")
+    found = {(r["a"], r["b"]): r["r"] for r in MO.correlation_matrix(table, "item", "column", "v", method, block).collect()}
+    frame = pd.DataFrame(np.where(there, x, np.nan))
+    if method == "spearman":
+        frame = frame.rank(axis=1)
+    for i in range(23):
+        for j in range(i + 1, 23):
+            both = frame.loc[[i, j]].dropna(axis=1).to_numpy()
+            key = f"r{i:02d}", f"r{j:02d}"
+            if not both.shape[1]:
+                assert key not in found
+            elif both.shape[1] < 2 or both.std(1).min() < 1e-12:
+                assert found[key] is None
+            else:
+                assert abs(found[key] - np.corrcoef(both)[0, 1]) < 1e-9
+    assert all(a < b for a, b in found)
+
+
+def test_correlations_of_a_wide_panel(spark):
+    # 5,000 genes against 12 targets: 20 blocks, 12.5 million pairs, summed where they are made
+    genes = spark.range(5000).select(F.format_string("g%05d", "id").alias("gene"), F.explode(F.sequence(F.lit(0), F.lit(11))).alias("target"))
+    table = genes.withColumn("v", F.sin(F.xxhash64("gene", "target") % 1000).cast("double"))
+    out = MO.correlation_matrix(table, "gene", "target", "v").agg(F.count("*").alias("n"), F.max(F.abs("r")).alias("m"), F.avg("r").alias("mean")).first()
+    assert out["n"] == 5000 * 4999 // 2 and out["m"] <= 1 and abs(out["mean"]) < 0.01
