@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -84,33 +86,36 @@ def profile_distances(effects: DataFrame, per_protein: bool = False) -> DataFram
     return rows.groupBy(*keys).agg(F.sqrt(F.sum((F.col("_x") - F.col("_y")) * (F.col("_x") - F.col("_y")))).alias("distance"))
 
 
-def mantel(first: DataFrame, second: DataFrame, n_permutations: int = 999, seed: int = 0) -> DataFrame:
-    """Rank correlation of two pair tables and its label-permutation p (one row).
+def mantel(first: DataFrame, second: DataFrame, n_permutations: int = 999, seed: int = 0, by: Sequence[str] = ()) -> DataFrame:
+    """Rank correlation of two pair tables and its label-permutation p (one row per group ``by`` of the second table).
 
     Relabelling only rearranges the second table's values, so both tables are
     ranked once; every permutation is a lookup of relabelled pairs and one sum of
-    rank products.  Labels are shuffled by hash order of (seed, permutation, target).
+    rank products.  Labels are shuffled by hash order of (seed, permutation, target),
+    in all groups alike.
     """
-    both = first.select("target_a", "target_b", F.col("distance").alias("d1")).join(second.select("target_a", "target_b", F.col("distance").alias("d2")), ["target_a", "target_b"])
+    by = list(by)
+    both = first.select("target_a", "target_b", F.col("distance").alias("d1")).join(second.select(*by, "target_a", "target_b", F.col("distance").alias("d2")), ["target_a", "target_b"])
     both = cut_lineage(both)
-    r1 = average_ranks(both, [], "d1", "r1").select("d1", "r1")
-    r2 = average_ranks(both, [], "d2", "r2").select("d2", "r2")
-    ranked = cut_lineage(both.join(r1, "d1").join(r2, "d2").select("target_a", "target_b", "r1", "r2"))
-    moments = ranked.agg(F.count(F.lit(1)).alias("n_pairs"), F.avg("r1").alias("_m1"), F.avg("r2").alias("_m2"), F.stddev_pop("r1").alias("_s1"), F.stddev_pop("r2").alias("_s2"), F.corr("r1", "r2").alias("mantel_rho"))
-    names = ranked.select(F.col("target_a").alias("t")).union(ranked.select("target_b")).distinct()
-    numbered = names.withColumn("draw", F.row_number().over(W.orderBy("t")).cast("bigint"))  # one row per target
+    r1 = average_ranks(both, by, "d1", "r1").select(*by, "d1", "r1")
+    r2 = average_ranks(both, by, "d2", "r2").select(*by, "d2", "r2")
+    ranked = cut_lineage(both.join(r1, [*by, "d1"]).join(r2, [*by, "d2"]).select(*by, "target_a", "target_b", "r1", "r2"))
+    moments = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("n_pairs"), F.avg("r1").alias("_m1"), F.avg("r2").alias("_m2"), F.stddev_pop("r1").alias("_s1"), F.stddev_pop("r2").alias("_s2"), F.corr("r1", "r2").alias("mantel_rho"))
+    names = ranked.select(*by, F.col("target_a").alias("t")).union(ranked.select(*by, "target_b")).distinct()
+    numbered = names.withColumn("draw", F.row_number().over(W.partitionBy(*by).orderBy("t")).cast("bigint"))  # one row per target
     draws = names.withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(max(n_permutations, 1)))))
     digest = F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col("perm").cast("string"), "t"), 256)
-    shuffled = hash_rank(draws.withColumn("_h", digest), ["perm"], "_h").select("perm", F.col("t").alias("new"), "draw")
-    mapping = numbered.join(shuffled, "draw").select("perm", F.col("t").alias("old"), "new")
-    moved = ranked.select("target_a", "target_b", "r1").join(mapping.select("perm", F.col("old").alias("target_a"), F.col("new").alias("_x")), "target_a")
-    moved = moved.join(mapping.select("perm", F.col("old").alias("target_b"), F.col("new").alias("_y")), ["perm", "target_b"])
-    moved = moved.select("perm", "r1", F.least("_x", "_y").alias("target_a"), F.greatest("_x", "_y").alias("target_b"))
-    sums = moved.join(ranked.select("target_a", "target_b", "r2"), ["target_a", "target_b"]).groupBy("perm").agg(F.sum(F.col("r1") * F.col("r2")).alias("_s"))
+    shuffled = hash_rank(draws.withColumn("_h", digest), ["perm", *by], "_h").select(*by, "perm", F.col("t").alias("new"), "draw")
+    mapping = numbered.join(shuffled, [*by, "draw"]).select(*by, "perm", F.col("t").alias("old"), "new")
+    moved = ranked.select(*by, "target_a", "target_b", "r1").join(mapping.select(*by, "perm", F.col("old").alias("target_a"), F.col("new").alias("_x")), [*by, "target_a"])
+    moved = moved.join(mapping.select(*by, "perm", F.col("old").alias("target_b"), F.col("new").alias("_y")), [*by, "perm", "target_b"])
+    moved = moved.select(*by, "perm", "r1", F.least("_x", "_y").alias("target_a"), F.greatest("_x", "_y").alias("target_b"))
+    sums = moved.join(ranked.select(*by, "target_a", "target_b", "r2"), [*by, "target_a", "target_b"]).groupBy(*by, "perm").agg(F.sum(F.col("r1") * F.col("r2")).alias("_s"))
     rho = (F.col("_s") / F.col("n_pairs") - F.col("_m1") * F.col("_m2")) / (F.col("_s1") * F.col("_s2"))
-    tested = sums.crossJoin(F.broadcast(moments)).groupBy("n_pairs", "mantel_rho").agg(F.count_if(rho >= F.col("mantel_rho") - 1e-12).alias("_ge"), F.count(F.lit(1)).alias("_b"))
+    joined = sums.join(F.broadcast(moments), by) if by else sums.crossJoin(F.broadcast(moments))  # one row per group
+    tested = joined.groupBy(*by, "n_pairs", "mantel_rho").agg(F.count_if(rho >= F.col("mantel_rho") - 1e-12).alias("_ge"), F.count(F.lit(1)).alias("_b"))
     p = (1 + F.col("_ge")) / (1 + F.col("_b")) if n_permutations > 0 else F.lit(None).cast("double")
-    return tested.select("n_pairs", "mantel_rho", p.alias("p_permutation"))
+    return tested.select(*by, "n_pairs", "mantel_rho", p.alias("p_permutation"))
 
 
 def module_association(effects: DataFrame, modules: DataFrame, min_targets: int = 3, alpha: float = 0.05) -> DataFrame:
@@ -135,8 +140,7 @@ def geometry_association(pairs: DataFrame, effects: DataFrame, proteins: list[st
     """Joint and per-protein Mantel tests of the RNA pair distances; FDR over the single proteins."""
     joint = mantel(pairs, profile_distances(effects), n_permutations, seed).withColumn("protein", F.lit("all_proteins"))
     single = profile_distances(effects, per_protein=True)
-    for i, name in enumerate(proteins):  # the panel, a few dozen names
-        joint = joint.unionByName(mantel(pairs, single.where(F.col("protein") == name), n_permutations, seed + 1 + i).withColumn("protein", F.lit(name)))
+    joint = joint.unionByName(mantel(pairs, single.where(F.col("protein").isin(proteins)), n_permutations, seed + 1, ["protein"]))
     alone = F.col("protein") != "all_proteins"
     out = bh_adjust(joint.withColumn("_p", F.when(alone, F.col("p_permutation"))), "_p", "fdr").drop("_p")
     return out.withColumn("significant", F.coalesce(F.when(alone, F.col("fdr")).otherwise(F.col("p_permutation")) < alpha, F.lit(False))).withColumn("analysis_level", F.lit(PAIR))
