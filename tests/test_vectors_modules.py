@@ -287,3 +287,30 @@ def test_correlations_of_a_wide_panel(spark):
     table = genes.withColumn("v", F.sin(F.xxhash64("gene", "target") % 1000).cast("double"))
     out = MO.correlation_matrix(table, "gene", "target", "v").agg(F.count("*").alias("n"), F.max(F.abs("r")).alias("m"), F.avg("r").alias("mean")).first()
     assert out["n"] == 5000 * 4999 // 2 and out["m"] <= 1 and abs(out["mean"]) < 0.01
+
+
+def test_draws_are_exact_and_four_wise_values_are_uniform(spark):
+    from guidewave.operators import draws
+
+    cells = spark.range(700).select((F.col("id") % 690).cast("string").alias("cell_id"))  # ten ids twice: ties
+    keys = cells.select(draws.cell_key(F.col("cell_id"))).cache()
+    own = np.array([r["key"] for r in keys.collect()], np.int64)
+    rows = draws.coefficients(40, 3)
+    sizes = np.array([1, 7, 350, 699, 700, 5000], np.int64)
+    found = draws.thresholds(keys, rows, sizes)
+    for p in range(40):
+        a, b, c, d = (int(x) for x in rows[p])
+        values = sorted((((a * int(x) + b) * int(x) + c) * int(x) + d) % draws.PRIME for x in own)
+        assert found[p].tolist() == [values[min(n, 700) - 1] for n in sizes]
+    many = draws.values(own, draws.coefficients(2000, 4)) / draws.PRIME
+    assert np.abs(many.mean(0) - 0.5).max() < 0.04 and abs(many.std() - 12**-0.5) < 0.002
+    edges = cells.select(F.col("cell_id").alias("src"), F.reverse("cell_id").alias("dst"))
+    counted = {(r["perm"], r["level"]): r["n"] for r in draws.edge_counts(edges, rows, found).collect()}
+    ids = [r["cell_id"] for r in cells.collect()]
+    import hashlib
+    key = lambda s: int(hashlib.sha256(s.encode()).hexdigest()[:13], 16) % draws.PRIME
+    src, dst = np.array([key(i) for i in ids]), np.array([key(i[::-1]) for i in ids])
+    later = np.maximum(draws.values(src, rows), draws.values(dst, rows))
+    for p in range(40):
+        upto = [sum(counted.get((p + 1, k), 0) for k in range(level + 1)) for level in range(len(sizes))]
+        assert upto == [(later[p] <= limit).sum() for limit in found[p]]
