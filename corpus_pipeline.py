@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guidewave.functions.session import cut_lineage
-from guidewave.llm import decontaminate, language, mixing, sharding, simhash
+from guidewave.llm import decontaminate, language, mixing, nearcopies, sharding
 
 
 def _whole(docs: DataFrame) -> Column:
@@ -29,12 +29,13 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate class: that of the smallest doc_id (null last), of rows with one id the first.
 
-    Rows are numbered and written once, as doc_ids may be missing or repeated.
+    Near-duplicates share 0.8 or more of their five-word shingles.  Rows are
+    numbered and written once, as doc_ids may be missing or repeated.
     """
     rows = cut_lineage(docs.select(F.monotonically_increasing_id().alias("doc_id"), "text", _whole(docs)))
-    classes = simhash.near_duplicates(rows).select(F.col("doc_id"), "component_id")
+    classes = nearcopies.classes(rows)
     order = F.struct(F.col("own.doc_id").isNull().alias("missing"), F.col("own.doc_id").alias("id"), F.col("doc_id").alias("row"))
-    first = rows.select("doc_id", order.alias("order")).join(classes, "doc_id").groupBy("component_id").agg(F.min("order").alias("order"))
+    first = rows.select("doc_id", order.alias("order")).join(classes, "doc_id").groupBy("class_id").agg(F.min("order").alias("order"))
     return rows.join(first.select(F.col("order.row").alias("doc_id")), "doc_id", "left_semi").select("own.*")
 
 
