@@ -10,6 +10,7 @@ is near is then compared shingle by shingle, and only verified links join.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import hashlib
 import math
@@ -17,7 +18,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.session import cut_lineage
@@ -29,10 +30,24 @@ SIMILARITY = 0.8
 #: bits by which candidates may differ; a similarity of 0.8 differs in 9.7 bits of 64 on average
 RADIUS = 14
 _REMEMBERED = 64
+#: rows of an Arrow batch: a pair of tiles has up to 64 KB, a pair of texts has no bound
+_TILE_PAIRS, _TEXT_PAIRS = 128, 32
 _digest = functools.partial(xxhash.xxh64_intdigest, seed=42)
 _PAIR = ["cell_a", "part_a", "cell_b", "part_b"]
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows for the tables written inside; the setting is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def shingles(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles; fewer words are one shingle, no words none."""
     words = text.lower().split()
@@ -155,14 +170,16 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILAR
         struck = refuted.groupBy(*_PAIR).agg(F.collect_list(F.struct("a", "b")).alias("out"))
         met = active.join(struck, _PAIR, "left").join(side("a"), ["cell_a", "part_a"]).join(side("b"), ["cell_b", "part_b"])
         met = met.select(*_PAIR, "members_a", "members_b", "out").repartition(F.xxhash64(*_PAIR))
-        found = cut_lineage(met.mapInArrow(lambda batches: _near(batches, radius, similarity), "cell_a long, part_a long, cell_b long, part_b long, a long, b long, thinned boolean"))
+        with batches_of(spark, _TILE_PAIRS):
+            found = cut_lineage(met.mapInArrow(lambda batches: _near(batches, radius, similarity), "cell_a long, part_a long, cell_b long, part_b long, a long, b long, thinned boolean"))
         if found.isEmpty():
             break
         pairs = found.select("a", "b").distinct()
         ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
         held = texts.join(ends, "doc_id", "left_semi")
         both = pairs.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        judged = cut_lineage(both.select("a", "b", "text_a", "text_b").mapInArrow(lambda batches: _similar(batches, shingle), "a long, b long, similarity double"))
+        with batches_of(spark, _TEXT_PAIRS):
+            judged = cut_lineage(both.select("a", "b", "text_a", "text_b").mapInArrow(lambda batches: _similar(batches, shingle), "a long, b long, similarity double"))
         links = cut_lineage(links.unionByName(judged.where(F.col("similarity") >= similarity).select("a", "b")))
         labels = components(links)
         thinned = found.where("thinned")
