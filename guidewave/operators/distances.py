@@ -1,9 +1,9 @@
 """Distances between groups of cells: energy distance, MMD, permutation test, pair space.
 
-All cells of a group are compared.  A group pair is one task's work, and its
-distance block grows with the product of the two sizes, so callers with very
-large groups pass a limit, which draws a reproducible sample; nothing is sampled
-unasked.  The vectors travel in Arrow.
+All cells of a group are compared, in blocks of bounded size (see
+:mod:`pairblocks`); their work still grows with the product of the two sizes, so
+callers with very large groups may pass a limit, which draws a reproducible
+sample; nothing is sampled unasked.  The vectors travel in Arrow.
 """
 
 from __future__ import annotations
@@ -19,12 +19,18 @@ from pyspark.sql import Window as W
 
 from ..functions.ordering import bh_adjust
 from ..functions.scalars import seed_from_text
+from ..functions.session import cut_lineage
 from .labels import is_perturbed, is_reference
 from .grouping import agglomerate, cut_tree, default_module_count
 from .neighbors import _matrix
+from .pairblocks import block_size, energy_distances, mean_distances, mmd_distances, numbered_cells, permutation_tests
 from .sampling import bounded_sample
 
 _PERMUTATION_BATCH = 64
+#: cells of the largest target for which MMD compares whole targets
+SMALL_TARGET = 2048
+#: blocks aimed at per group of a test, and the number of the control group among the targets
+_BLOCKS_OF_GROUP, _CONTROL = 6, -1
 
 
 def _refined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -123,23 +129,22 @@ def perturbation_distance(cells: DataFrame, control_classes: Sequence[str], prim
     index, targets = _sampled_targets(cells, min_cells, max_target, seed, stratum)
     pool = cells.where(is_reference(control_classes) if arm == "ntc" else is_perturbed())
     control = bounded_sample(pool.select("cell_id", "vec", *([stratum] if stratum else [])), [], max_control, seed, stratum=stratum)
-    info = index.where(F.col("n_cells") >= min_cells).select("target", "n_cells", seed_from_text(F.concat_ws("_", F.lit(str(seed)), F.col("target_no").cast("string"), "target")).alias("seed"))
-    names = info.agg(F.collect_list("target").alias("_t"))  # the eligible targets
-    sent = control.select("cell_id", "vec").crossJoin(F.broadcast(names)).select(F.explode("_t").alias("c_target"), F.col("cell_id").alias("c_cell_id"), F.col("vec").alias("c_vec"))
-    rows = targets.join(info, "target").select("target", "n_cells", "seed", "cell_id", "vec")
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        left, right = left.sort_by("cell_id"), right.sort_by("c_cell_id")
-        if not left.num_rows or not right.num_rows:
-            return pa.table({"target": pa.array([], pa.string()), "n_cells": pa.array([], pa.int64()), "n_control": pa.array([], pa.int64()), "energy_distance": pa.array([], pa.float64()),
-                             "p_value": pa.array([], pa.float64()), "mmd_distance": pa.array([], pa.float64())})
-        x, y = _matrix(left.column("vec")), _matrix(right.column("c_vec"))
-        stat, p = permutation_p(x, y, n_permutations, int(left.column("seed")[0].as_py()))
-        return pa.table({"target": pa.array([left.column("target")[0].as_py()], pa.string()), "n_cells": pa.array([left.column("n_cells")[0].as_py()], pa.int64()), "n_control": pa.array([len(y)], pa.int64()),
-                         "energy_distance": pa.array([stat], pa.float64()), "p_value": pa.array([None if p != p else p], pa.float64()),
-                         "mmd_distance": pa.array([mmd_statistic(x, y) if secondary == "mmd" else None], pa.float64())})
-
-    tested = rows.groupBy("target").cogroup(sent.groupBy("c_target")).applyInArrow(compare, "target string, n_cells bigint, n_control bigint, energy_distance double, p_value double, mmd_distance double")
+    index = cut_lineage(index)
+    info = index.where(F.col("n_cells") >= min_cells).select("target", F.col("target_no").cast("bigint").alias("a"), seed_from_text(F.concat_ws("_", F.lit(str(seed)), F.col("target_no").cast("string"), "target")).alias("seed"))
+    own = targets.join(info, "target").select(F.col("a").alias("grp"), "cell_id", "vec")
+    numbered = numbered_cells(own.unionByName(control.select(F.lit(_CONTROL).cast("bigint").alias("grp"), "cell_id", "vec")))
+    sizes = numbered.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    sizes = cut_lineage(info.join(sizes.withColumnRenamed("grp", "a"), "a").crossJoin(F.broadcast(sizes.where(F.col("grp") == _CONTROL).select(F.col("n").alias("m")))))  # one row per target
+    items = sizes.select(F.col("a").alias("item"), "a", F.lit(_CONTROL).cast("bigint").alias("b"), "n", "m", "seed")
+    largest = items.agg(F.greatest(F.max("n"), F.max("m"))).first()[0] or 0
+    if n_permutations > 0:
+        found = permutation_tests(numbered, items, n_permutations, block_size(largest, _BLOCKS_OF_GROUP))
+    else:
+        energy = energy_distances(mean_distances(numbered, control=_CONTROL))
+        found = energy.select(F.col("b").alias("item"), F.col("distance").alias("statistic"), F.lit(None).cast("double").alias("p_value"))
+    mmd = mmd_distances(numbered, items, block_size(largest, _BLOCKS_OF_GROUP)) if secondary == "mmd" else items.select("item", F.lit(None).cast("double").alias("mmd"))
+    tested = found.join(mmd, "item").join(sizes.withColumnRenamed("a", "item"), "item").join(index.select("target", "n_cells"), "target").select(
+        "target", "n_cells", F.col("m").alias("n_control"), F.col("statistic").alias("energy_distance"), "p_value", F.col("mmd").alias("mmd_distance"))
     tested = bh_adjust(tested, "p_value", "fdr")
     skipped = index.where(F.col("n_cells") < min_cells).select("target", "n_cells", F.format_string(f"fewer than {min_cells} cells (%d)", "n_cells").alias("reason"))
     out = tested.withColumn("significant", F.coalesce(F.col("fdr") < alpha, F.lit(False))).withColumn("reason", F.lit(None).cast("string"))
@@ -149,12 +154,27 @@ def perturbation_distance(cells: DataFrame, control_classes: Sequence[str], prim
 def pair_distances(cells: DataFrame, min_cells: int = 30, max_cells: int | None = None, metric: str = "edistance", seed: int = 123, stratum: str | None = None, block: int = 16) -> DataFrame:
     """(target_a, target_b, distance) for a < b.
 
-    Targets are cut into blocks and block pairs meet by an equi-join on the two
-    block numbers, so each sample is shipped once per block instead of once per
-    pair, and one task holds two blocks of bounded samples.
+    Mean distances come from blocks of bounded size.  MMD needs all distances of a
+    pair for its median: targets of at most SMALL_TARGET cells are cut into blocks
+    of ``block`` targets, and block pairs meet by an equi-join on the two block
+    numbers; with a larger target every pair is selected over blocks of cells.
     """
     index, rows = _sampled_targets(cells, min_cells, max_cells, seed, stratum)
-    eligible = index.where(F.col("n_cells") >= min_cells).select("target", (F.floor((F.row_number().over(W.orderBy("target")) - 1) / block)).cast("int").alias("blk"))
+    index = cut_lineage(index.where(F.col("n_cells") >= min_cells))
+    names = index.select("target", F.col("target_no").cast("bigint").alias("grp"))
+    if metric == "edistance" or (index.agg(F.max("n_cells")).first()[0] or 0) > SMALL_TARGET:
+        numbered = numbered_cells(rows.join(names, "target"))
+        if metric == "edistance":
+            found = energy_distances(mean_distances(numbered))
+        else:
+            sizes = cut_lineage(numbered.groupBy("grp").agg(F.count(F.lit(1)).alias("n")))
+            both = sizes.select(F.col("grp").alias("a"), "n").join(sizes.select(F.col("grp").alias("b"), F.col("n").alias("m")), F.col("a") < F.col("b"))
+            items = cut_lineage(both.withColumn("item", F.col("a") * F.lit(2**31) + F.col("b")))
+            largest = sizes.agg(F.max("n")).first()[0] or 0
+            found = mmd_distances(numbered, items.select("item", "a", "b", "n", "m"), block_size(largest, _BLOCKS_OF_GROUP)).join(items, "item").select("a", "b", F.col("mmd").alias("distance"))
+        first, second = names.select(F.col("grp").alias("a"), F.col("target").alias("target_a")), names.select(F.col("grp").alias("b"), F.col("target").alias("target_b"))
+        return found.join(first, "a").join(second, "b").select("target_a", "target_b", "distance")
+    eligible = index.select("target", (F.floor((F.row_number().over(W.orderBy("target")) - 1) / block)).cast("int").alias("blk"))
     last = eligible.agg(F.max("blk").alias("_last"))
     placed = rows.join(eligible, "target").crossJoin(F.broadcast(last)).select("target", "cell_id", "vec", "blk", "_last")
     left = placed.select(F.col("blk").alias("i"), F.explode(F.sequence("blk", "_last")).alias("j"), "target", "cell_id", "vec")
@@ -170,12 +190,10 @@ def pair_distances(cells: DataFrame, min_cells: int = 30, max_cells: int | None
         out: list[tuple[str, str, float]] = []
         if a.num_rows and b.num_rows:
             first, second = groups(a, ""), groups(b, "r_")
-            within = {t: _refined(x, x).mean() for t, x in {**first, **second}.items()} if metric == "edistance" else {}
             for s, x in first.items():
                 for t, y in second.items():
                     if s < t:
-                        d = max(2.0 * _refined(x, y).mean() - within[s] - within[t], 0.0) if metric == "edistance" else mmd_statistic(x, y)
-                        out.append((s, t, float(d)))
+                        out.append((s, t, mmd_statistic(x, y)))
         return pa.table({"target_a": pa.array([o[0] for o in out], pa.string()), "target_b": pa.array([o[1] for o in out], pa.string()), "distance": pa.array([o[2] for o in out], pa.float64())})
 
     return left.groupBy("i", "j").cogroup(right.groupBy("ri", "rj")).applyInArrow(compare, "target_a string, target_b string, distance double")
@@ -216,8 +234,6 @@ def principal_coordinates(pairs: DataFrame, n_components: int = 10) -> tuple[Dat
     from pyspark.mllib.linalg import DenseVector
     from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
 
-    from ..functions.session import cut_lineage
-
     spark = pairs.sparkSession
     products = cut_lineage(centred_products(pairs))
     names = products.select("a").distinct().withColumn("no", F.row_number().over(W.orderBy("a")) - 1)  # one row per target
@@ -248,8 +264,6 @@ def distance_space(cells: DataFrame, min_cells: int = 30, n_components: int = 10
     Phenotype modules cut the tree of the pair distances.  With fewer than two
     targets of ``min_cells`` cells all tables but ``skipped`` are empty.
     """
-    from ..functions.session import cut_lineage
-
     spark = cells.sparkSession
     index = target_index(cells)
     skipped = index.where(F.col("n_cells") < min_cells).select("target", "n_cells", F.format_string(f"fewer than {min_cells} cells (%d)", "n_cells").alias("reason"))
