@@ -34,21 +34,28 @@ def _triplets(spark, sf, cells):
     return root
 
 
+def dense_lines(rows, cells):
+    """(k, feature, value): the header and one line per feature over ``cells(cell_id, pos)`` in order of pos, absent counts as 0."""
+    wide = cells.crossJoin(F.broadcast(rows.select("feature").distinct()))  # the genes of the fixture
+    dense = wide.join(rows.select("cell_id", "feature", "value"), ["cell_id", "feature"], "left").groupBy("feature").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "cell_id", F.coalesce(F.col("value").cast("bigint"), F.lit(0)).alias("n")))).alias("_a"))
+    body = dense.select(F.lit(1).alias("k"), "feature", F.concat_ws(",", F.col("feature"), F.transform("_a", lambda a: a["n"].cast("string"))).alias("value"))
+    axis = cells.agg(F.sort_array(F.collect_list(F.struct("pos", "cell_id"))).alias("_a"))
+    head = axis.select(F.lit(0).alias("k"), F.lit("").alias("feature"), F.concat_ws(",", F.lit("GENE"), F.transform("_a", lambda a: a["cell_id"])).alias("value"))
+    return head.unionByName(body)
+
+
 def _dense(spark, sf):
     """Every second half of the cells as one wide text file (genes x cells)."""
     root = shared_path(spark, "dense")
     cells = S.cell_metadata(spark, sf).select("cell_id", "pos", (F.col("pos") % 2).alias("half"))
-    rows = counts(spark, sf).join(cells, "cell_id")
+    rows = counts(spark, sf).join(cells.select("cell_id", "half"), "cell_id")
     paths = []
     for half in (0, 1):
-        axis = cells.where(F.col("half") == half).agg(F.sort_array(F.collect_list(F.struct("pos", "cell_id"))).alias("_a"))
-        values = rows.where(F.col("half") == half).groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("cell_id", F.col("value").cast("bigint")))).alias("_m"))
-        line = F.concat_ws(",", F.col("feature"), F.transform("_a", lambda a: F.coalesce(F.element_at("_m", a["cell_id"]), F.lit(0)).cast("string")))
-        body = values.crossJoin(F.broadcast(axis)).select(F.lit(1).alias("k"), "feature", line.alias("value"))
-        head = axis.select(F.lit(0).alias("k"), F.lit("").alias("feature"), F.concat_ws(",", F.lit("GENE"), F.transform("_a", lambda a: a["cell_id"])).alias("value"))
+        lines = dense_lines(rows.where(F.col("half") == half), cells.where(F.col("half") == half).select("cell_id", "pos"))
         path = f"{root}/half{half}.csv"
         # a wide text file is one ordered file by definition; the fixture has one row per gene
-        head.unionByName(body).coalesce(1).sortWithinPartitions("k", "feature").select("value").write.text(path)
+        lines.coalesce(1).sortWithinPartitions("k", "feature").select("value").write.text(path)
         paths.append(path)
     return paths
 

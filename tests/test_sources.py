@@ -91,3 +91,13 @@ def test_processed_slots_and_comparison(spark, tmp_path):
     changed = spark.createDataFrame([("b", "g", 1.0), ("c", "g", 2.5)], part.schema)
     report = {r["column"]: (r["status"], r["n_different"]) for r in DQ.compare_tables(part, changed, ["cell_id", "feature"]).collect()}
     assert report == {"*": ("SAME", 0), "value": ("DIFF", 1)}
+
+
+def test_dense_lines_fill_absent_counts_without_a_lookup_per_cell(spark):
+    from guidewave.plans.queries_h_sources import dense_lines
+
+    cells = spark.createDataFrame([(f"C{i}", i) for i in (11, 2, 30, 7)], "cell_id string, pos int")
+    rows = spark.createDataFrame([("C2", "g2", 4.0), ("C30", "g1", 1.0), ("C7", "g2", 9.0)], "cell_id string, feature string, value double")
+    lines = dense_lines(rows, cells)
+    assert [r["value"] for r in lines.orderBy("k", "feature").collect()] == ["GENE,C2,C7,C11,C30", "g1,0,0,0,1", "g2,4,9,0,0"]
+    assert "map_from_entries" not in lines._jdf.queryExecution().toString()
