@@ -30,9 +30,11 @@ def gene_dispersion(expr: DataFrame, n_cells: DataFrame, value: str = "lognorm")
 def variable_genes(expr: DataFrame, n_cells: DataFrame, n_top: int = 2000, flavor: str = "seurat", n_bins: int = 20, value: str = "lognorm") -> DataFrame:
     """Genes with their normalised dispersion and the ``highly_variable`` flag of the n largest.
 
-    The gene table has one row per gene; its windows are over mean bins.
+    The gene table has one row per gene; its windows are over mean bins.  It is
+    written once: bin edges are genes' own means, and a second evaluation may
+    differ in the last bit and move such a gene to the next bin.
     """
-    genes = gene_dispersion(expr, n_cells, value)
+    genes = cut_lineage(gene_dispersion(expr, n_cells, value))
     if flavor == "seurat":
         genes = genes.withColumn("dispersion", F.when(F.col("dispersion") > 0, F.log("dispersion"))).withColumn("mean", F.log1p("mean"))
         span = genes.agg(F.min("mean").alias("_lo"), F.max("mean").alias("_hi"))
