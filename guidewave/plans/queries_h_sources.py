@@ -99,9 +99,8 @@ def win_08(spark, sf):
 @register("src_07_table_with_type_row", "SELECT cell_id AS \"NAME\", condition, sample FROM meta")
 def src_07(spark, sf):
     path = shared_path(spark, "metadata") + ".csv"
-    meta = S.cell_metadata(spark, sf).select(F.lit(1).alias("k"), F.concat_ws(",", "cell_id", "condition", "sample").alias("value"))
-    head = meta.limit(1).select(F.explode(F.array(F.struct(F.lit(-1).alias("k"), F.lit("NAME,condition,sample").alias("value")), F.struct(F.lit(0).alias("k"), F.lit("TYPE,group,group").alias("value")))).alias("_r")).select("_r.*")
-    head.unionByName(meta).coalesce(1).sortWithinPartitions("k").select("value").write.text(path)
+    meta = S.cell_metadata(spark, sf).select(F.col("cell_id").alias("NAME"), "condition", "sample")
+    SK.write_typed_table(meta, {"NAME": "TYPE", "condition": "group", "sample": "group"}, path)
     return TX.read_table(spark, path, "comma", "NAME")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -80,6 +81,22 @@ def write_triplets(expr: DataFrame, cells: DataFrame, features: DataFrame, root:
     f.orderBy("new_pos").select(F.concat_ws("\t", "feature_id", "feature_name", "feature_type").alias("value")).write.mode("overwrite").text(f"{root}/features.tsv")
 
 
+def write_typed_table(table: DataFrame, types: Mapping[str, str], path: str) -> None:
+    """CSV with a line of column types after the header of every file; one file per partition, so no task holds the table."""
+    table = table.select(*[F.col(c).cast("string").alias(c) for c in types])
+
+    def with_types(batches):
+        first = True
+        for batch in batches:
+            if first and batch.num_rows:
+                first = False
+                yield pa.RecordBatch.from_arrays([pa.array([t], f.type) for t, f in zip(types.values(), batch.schema)], schema=batch.schema)
+            yield batch
+
+    # the writer must not split a partition: the line of types stands once in it
+    table.mapInArrow(with_types, table.schema).write.option("header", True).option("maxRecordsPerFile", 0).option("emptyValue", "").csv(path)
+
+
 def dense_positions(df: DataFrame, order: str) -> DataFrame:
     """``new_pos``: 0-based rank by ``order``, computed per value range and shifted by the earlier ranges."""
     width = 1 << 16

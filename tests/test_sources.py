@@ -66,6 +66,16 @@ def test_tables_and_assignments(spark, tmp_path):
         TX.read_embedding(spark, str(meta), ["X"])
 
 
+def test_typed_table_has_a_file_per_partition(spark, tmp_path):
+    rows = [(f"c{i}", "TYPE" if i == 7 else f"x,{i}", None if i == 3 else "s") for i in range(40)] + [("TYPE", "later", "row")]
+    table = spark.createDataFrame(rows, "NAME string, condition string, sample string").repartition(4)
+    SK.write_typed_table(table, {"NAME": "TYPE", "condition": "group", "sample": "group"}, str(tmp_path / "m.csv"))
+    files = [f.read_text().splitlines() for f in sorted((tmp_path / "m.csv").glob("*.csv"))]
+    assert len(files) == 4 and all(f[:2] == ["NAME,condition,sample", "TYPE,group,group"] and len(f) < 30 for f in files)
+    back = TX.read_table(spark, str(tmp_path / "m.csv"), index="NAME")
+    assert sorted(map(tuple, back.collect())) == sorted((n, c, s or "") for n, c, s in rows)
+
+
 def test_lanes_and_types(spark):
     part = spark.createDataFrame([("b", "g", 1.0)], "cell_id string, feature string, value double")
     merged, lanes = BU.concat_lanes([("L1", part), ("L2", part)])
