@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.session import cut_lineage
 from .embedding import joint_space
 from .neighbors import knn
 
@@ -69,7 +70,8 @@ def connectivities(edges: DataFrame, k: int) -> DataFrame:
 
 def neighbor_graph(vectors: DataFrame, n_neighbors: int = 15) -> tuple[DataFrame, DataFrame]:
     """(edges, connectivities) of a space ``vectors(cell_id, vec)``; cells without a vector are left out."""
-    edges = knn(vectors.where(F.col("vec").isNotNull()).select("cell_id", "vec"), n_neighbors - 1)
+    # read three times: for the overall mean, by the weights and by the caller
+    edges = cut_lineage(knn(vectors.where(F.col("vec").isNotNull()).select("cell_id", "vec"), n_neighbors - 1))
     return edges, connectivities(edges, n_neighbors)
 
 
