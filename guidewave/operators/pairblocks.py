@@ -130,7 +130,8 @@ def mean_distances(cells: DataFrame, control: int | None = None, block: int | No
 
     parts = left.groupBy("i", "j").cogroup(right.groupBy("r_i", "r_j")).applyInArrow(compare, "a bigint, b bigint, total double")
     n = sizes.select("grp", "n")
-    total = parts.groupBy("a", "b").agg(F.sum("total").alias("_t"))
+    # one row per pair of groups; callers read it several times, the cells are compared once
+    total = cut_lineage(parts.groupBy("a", "b").agg(F.sum("total").alias("_t")))
     out = total.join(n.select(F.col("grp").alias("a"), F.col("n").alias("n_a")), "a").join(n.select(F.col("grp").alias("b"), F.col("n").alias("n_b")), "b")
     return out.select("a", "b", (F.col("_t") / (F.col("n_a").cast("double") * F.col("n_b"))).alias("mean"), "n_a", "n_b")
 

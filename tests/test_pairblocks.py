@@ -62,3 +62,9 @@ def test_no_task_sees_more_than_two_blocks(spark, small_blocks, monkeypatch):
 
     monkeypatch.setattr(PB, "_group_sums", bounded)
     assert len(D.pair_distances(cells, min_cells=5).collect()) == 6
+
+
+def test_cells_are_compared_once(spark, small_blocks):
+    cells, _ = groups(spark)
+    tables = [D.pair_distances(cells, min_cells=5), D.perturbation_distance(cells, ["non_targeting"], min_cells=5, n_permutations=0, secondary=None)]
+    assert all("CoGroupsInArrow" not in t._jdf.queryExecution().optimizedPlan().toString() for t in tables)
