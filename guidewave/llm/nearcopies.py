@@ -1,11 +1,11 @@
 """Near-copies by SimHash tiles, each link verified by the exact similarity of word shingles.
 
-Fingerprints are dealt to tiles by the number of distinct shingles (geometric
-bands) and by their population count.  Two texts of Jaccard similarity s have
-shingle counts of a ratio of s or more, so they lie in the same or in
-neighbouring bands; tiles whose population counts differ beyond the radius are
-skipped; the others are compared whole with exclusive-or and bit counts.  What
-is near is then compared shingle by shingle, and only verified links join.
+Fingerprints are dealt to tiles by the number of distinct shingles, in geometric
+bands.  Two texts of Jaccard similarity s have shingle counts of a ratio of s or
+more, so they lie in the same or in neighbouring bands, whose tiles are compared
+whole with exclusive-or and bit counts (at a radius of 14 population counts
+would rule out hardly any pair).  What is near is then compared shingle by
+shingle, and only verified links join.
 """
 
 from __future__ import annotations
@@ -30,8 +30,10 @@ SIMILARITY = 0.8
 #: bits by which candidates may differ; a similarity of 0.8 differs in 9.7 bits of 64 on average
 RADIUS = 14
 _REMEMBERED = 64
-#: rows of an Arrow batch: a pair of tiles has up to 64 KB, a pair of texts has no bound
-_TILE_PAIRS, _TEXT_PAIRS = 128, 32
+#: rows of an Arrow batch: a pair of tiles has some 64 KB, a text and a pair of texts have no bound
+_TILE_PAIRS, _TEXTS, _TEXT_PAIRS = 32, 256, 32
+#: fingerprints of a tile that are held against another tile at a time
+_COMPARED_AT_ONCE = 128
 _digest = functools.partial(xxhash.xxh64_intdigest, seed=42)
 _PAIR = ["cell_a", "part_a", "cell_b", "part_b"]
 
@@ -67,6 +69,20 @@ def _described(batches, shingle: int):
                                          ["doc_id", "words", "fingerprint", "size"])
 
 
+def _candidates(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool, radius: int, similarity: float) -> np.ndarray:
+    """Which rows of two tiles are near, of like size and not of one class; of a tile with itself the lower triangle."""
+    near = np.zeros((len(x["node"]), len(y["node"])), bool)
+    for at in range(0, len(near), _COMPARED_AT_ONCE):
+        part = {k: v[at : at + _COMPARED_AT_ONCE, None] for k, v in x.items()}
+        rows = np.bitwise_count((part["fingerprint"] ^ y["fingerprint"]).view(np.uint64)) <= radius
+        if same:
+            rows &= np.tri(*rows.shape, at - 1, dtype=bool)
+        if rows.any():
+            rows &= np.minimum(part["size"], y["size"]) >= similarity * np.maximum(part["size"], y["size"]) * (1 - 1e-12)
+            near[at : at + _COMPARED_AT_ONCE] = rows & (part["label"] != y["label"])
+    return near
+
+
 def _near(batches, radius: int, similarity: float):
     """Candidates (tile pair, a, b, thinned) of every tile pair: those of one class or refuted before are left out."""
     column = lambda x, name: x.values.field(name).to_numpy(zero_copy_only=False)
@@ -75,19 +91,15 @@ def _near(batches, radius: int, similarity: float):
         left, right, counts, thinned = [], [], np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, bool)
         for k in range(batch.num_rows):
             x, y, out = batch.column(4)[k], batch.column(5)[k], batch.column(6)[k]
-            a, b = column(x, "fingerprint").view(np.uint64), column(y, "fingerprint").view(np.uint64)
-            near = np.bitwise_count(a[:, None] ^ b[None, :]) <= radius
-            if keys[0][k] == keys[2][k] and keys[1][k] == keys[3][k]:
-                near &= np.tri(len(a), len(b), -1, dtype=bool)
+            first, second = ({c: column(side, c) for c in ("fingerprint", "node", "size", "label")} for side in (x, y))
+            near = _candidates(first, second, keys[0][k] == keys[2][k] and keys[1][k] == keys[3][k], radius, similarity)
             if not near.any():
                 continue
-            m, n = column(x, "size")[:, None], column(y, "size")[None, :]
-            near &= (np.minimum(m, n) >= similarity * np.maximum(m, n) * (1 - 1e-12)) & (column(x, "label")[:, None] != column(y, "label")[None, :])
-            nodes, others = column(x, "node"), column(y, "node")
+            nodes, others = first["node"], second["node"]
             if out.is_valid and len(out):
                 places, beside = {v: i for i, v in enumerate(nodes.tolist())}, {v: i for i, v in enumerate(others.tolist())}
                 near[[places[v] for v in column(out, "a").tolist()], [beside[v] for v in column(out, "b").tolist()]] = False
-            thinned[k] = np.count_nonzero(near) >= len(a) + len(b)
+            thinned[k] = np.count_nonzero(near) >= len(nodes) + len(others)
             rows, cols = _spanning(near) if thinned[k] else np.nonzero(near)
             counts[k] = len(rows)
             left.append(nodes[rows])
@@ -118,18 +130,14 @@ def _similar(batches, shingle: int):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shares, pa.float64())], ["a", "b", "similarity"])
 
 
-def tile_pairs(nodes: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
-    """Nodes with their (cell, part), and the pairs of tiles that can hold links.
+def tile_pairs(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes with their (cell, part), and the pairs of tiles that can hold links: those of one band and of two neighbouring ones.
 
-    The table of cells has 65 population counts times the bands of sizes, some
-    7,000 rows at any size of the corpus.
+    The table of cells has one row per band of sizes, some 100 rows at any size of the corpus.
     """
     sizes = nodes.groupBy("cell").agg(F.ceil(F.count("*") / TILE_ROWS).alias("n_tiles"))
     placed = nodes.join(F.broadcast(sizes), "cell").withColumn("part", F.pmod(F.xxhash64("node"), F.col("n_tiles")))
-    # 65 numbers per band: the next band is 65 on
-    steps = [d for d in range(radius + 1)] + [65 + d for d in range(-radius, radius + 1)]
-    reach = sizes.select(F.col("cell").alias("cell_a"), F.col("n_tiles").alias("n_a"), F.explode(F.array(*map(F.lit, steps))).alias("step"))
-    reach = reach.where((F.col("cell_a") % 65 + F.pmod(F.col("step") + radius, F.lit(65)) - radius).between(0, 64)).withColumn("cell", F.col("cell_a") + F.col("step"))
+    reach = sizes.select(F.col("cell").alias("cell_a"), F.col("n_tiles").alias("n_a"), F.explode(F.array(F.col("cell"), F.col("cell") + 1)).alias("cell"))
     met = reach.join(F.broadcast(sizes.withColumnRenamed("n_tiles", "n_b")), "cell").withColumnRenamed("cell", "cell_b")
     parts = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     met = met.select("cell_a", "cell_b", "n_b", parts("n_a").alias("part_a")).select("cell_a", "cell_b", "part_a", parts("n_b").alias("part_b"))
@@ -152,11 +160,12 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILAR
     """
     spark = docs.sparkSession
     texts = texts_of(docs)
-    rows = cut_lineage(texts.mapInArrow(lambda batches: _described(batches, shingle), "doc_id long, words binary, fingerprint long, size long"))
+    with batches_of(spark, _TEXTS):
+        rows = cut_lineage(texts.mapInArrow(lambda batches: _described(batches, shingle), "doc_id long, words binary, fingerprint long, size long"))
     band = F.floor(F.log(F.greatest(F.col("size"), F.lit(1))) / math.log(1 / similarity))
     nodes = rows.groupBy("words").agg(F.min("doc_id").alias("node"), F.first("fingerprint").alias("fingerprint"), F.first("size").alias("size"))
-    nodes = cut_lineage(nodes.withColumn("cell", band * 65 + F.bit_count("fingerprint")))
-    placed, active = tile_pairs(nodes, radius)
+    nodes = cut_lineage(nodes.withColumn("cell", band))
+    placed, active = tile_pairs(nodes)
     placed = cut_lineage(placed.select("cell", "part", "node", "fingerprint", "size"))
     links = spark.createDataFrame([], "a long, b long")
     refuted = spark.createDataFrame([], "cell_a long, part_a long, cell_b long, part_b long, a long, b long")

@@ -88,3 +88,20 @@ def test_stage_keeps_one_row_of_every_class(spark, copies):
                                   "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.deduplicated(spark, frame, "").collect()
     assert sorted(r["doc_id"] for r in kept) == sorted({c for c in brute_classes(copies, nearcopies.RADIUS).values()}) and kept[0].__fields__ == frame.columns
+
+
+def test_every_fingerprint_goes_to_few_tiles(spark, monkeypatch):
+    # 200 texts of one band of sizes are one tile, whatever bits their fingerprints have
+    rng = random.Random(9)
+    seen = []
+    inner = nearcopies.tile_pairs
+
+    def counted(nodes, *more):
+        placed, met = inner(nodes, *more)
+        seen.append(met.count())
+        return placed, met
+
+    texts = [(k, " ".join(f"w{rng.randrange(3000)}" for _ in range(100))) for k in range(200)]
+    monkeypatch.setattr(nearcopies, "tile_pairs", counted)
+    nearcopies.classes(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert seen[0] <= 3
