@@ -54,8 +54,9 @@ def ml_13a(spark, sf):
 
 @register("ml_13_projected_classes", f"SELECT cluster AS label, {R6('avg(x * a.u + y * a.v)', 4)} AS mean_1, {R6('avg(x * b.u + y * b.v)', 4)} AS mean_2, count(*) AS n FROM halves, (SELECT u, v FROM half_axes WHERE axis = 1) a, (SELECT u, v FROM half_axes WHERE axis = 2) b GROUP BY 1")
 def ml_13b(spark, sf):
+    # rows carry their own label, so a repeated or missing id joins nothing
     v = halves(spark, sf)
-    placed, _ = D.supervised_projection(v.select("cell_id", "vec"), v.select("cell_id", "label"))
+    placed = D.placed(v, D.discriminants(v))
     out = placed.groupBy("label").agg(F.avg(F.col("vec")[0]).alias("mean_1"), F.avg(F.col("vec")[1]).alias("mean_2"), F.count("*").alias("n"))
     return _round(out, "mean_1", "mean_2", digits=4)
 

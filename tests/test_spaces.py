@@ -95,6 +95,34 @@ def test_constant_axes_single_classes_and_empty_input(spark):
         D.discriminants(frame(spark, x, y).where("false"))
 
 
+def test_unlabelled_vectors_count_in_the_total_only(spark):
+    x, y = planted(3)
+    named = np.arange(len(y)) % 5 != 0
+    rows = frame(spark, x, y).withColumn("label", F.when(F.substring("cell_id", 2, 4).cast("int") % 5 != 0, F.col("label")))
+    found = D.discriminants(rows)
+    inside = sum((y[named] == c).mean() * brute_covariance(x[named & (y == c)])[0] for c in np.unique(y))
+    values = np.linalg.eigvals(np.linalg.solve(inside, brute_covariance(x)[0] - inside)).real
+    assert np.allclose(found.values, np.sort(values)[::-1][:3], rtol=1e-7)
+    assert {r["label"]: r["n"] for r in found.classes.collect()}[None] == len(y)
+
+
+@pytest.mark.parametrize("name", ["ml_13_discriminant_axes", "ml_13_projected_classes"])
+def test_axes_equal_their_sql_with_unlabelled_rows_and_repeated_ids(spark, tmp_path, name):
+    import duckdb
+
+    from guidewave.plans import all_oracles, all_queries
+
+    rng = np.random.default_rng(4)
+    rows = [(None if k == 7 else k // 2, rng.normal(size=64).tolist(), None if k % 6 == 0 else k % 3) for k in range(90)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = con.execute(all_oracles()[name]).fetchdf()
+    got = all_queries()[name](spark, str(tmp_path)).toPandas()[list(want.columns)]
+    key = want.columns[0]
+    pd.testing.assert_frame_equal(got.sort_values(key).reset_index(drop=True), want.sort_values(key).reset_index(drop=True), check_dtype=False)
+
+
 # graph weights
 
 def brute_weights(distances, k, overall):
