@@ -5,7 +5,7 @@ bands.  Two texts of Jaccard similarity s have shingle counts of a ratio of s or
 more, so they lie in the same or in neighbouring bands, whose tiles are compared
 whole with exclusive-or and bit counts (at a radius of 14 population counts
 would rule out hardly any pair).  What is near is then compared shingle by
-shingle, and only verified links join.
+shingle, the texts of a pair of tiles together, and only verified links join.
 """
 
 from __future__ import annotations
@@ -29,13 +29,17 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: bits by which candidates may differ; a similarity of 0.8 differs in 9.7 bits of 64 on average
 RADIUS = 14
-_REMEMBERED = 64
-#: rows of an Arrow batch: a pair of tiles has some 64 KB, a text and a pair of texts have no bound
-_TILE_PAIRS, _TEXTS, _TEXT_PAIRS = 32, 256, 32
+#: shingles of a piece of a tile; only a longer text has more
+PIECE_SHINGLES = 1 << 19
+#: rows of an Arrow batch: a pair of tiles has some 64 KB, a text has no bound
+_TILE_PAIRS, _TEXTS = 32, 256
+#: pairs of texts up to which those that share a shingle are listed, pairs listed and columns multiplied at a time
+_LISTED, _LISTED_AT_ONCE, _COLUMNS = 256, 1 << 20, 1024
 #: fingerprints of a tile that are held against another tile at a time
 _COMPARED_AT_ONCE = 128
 _digest = functools.partial(xxhash.xxh64_intdigest, seed=42)
 _PAIR = ["cell_a", "part_a", "cell_b", "part_b"]
+_GROUP = [*_PAIR, "i", "j"]
 
 
 @contextlib.contextmanager
@@ -69,65 +73,113 @@ def _described(batches, shingle: int):
                                          ["doc_id", "words", "fingerprint", "size"])
 
 
-def _candidates(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool, radius: int, similarity: float) -> np.ndarray:
-    """Which rows of two tiles are near, of like size and not of one class; of a tile with itself the lower triangle."""
+def _candidates(x: dict[str, np.ndarray], y: dict[str, np.ndarray], radius: int, similarity: float) -> np.ndarray:
+    """Which rows of two sides are near, of like size and not the same node."""
     near = np.zeros((len(x["node"]), len(y["node"])), bool)
     for at in range(0, len(near), _COMPARED_AT_ONCE):
         part = {k: v[at : at + _COMPARED_AT_ONCE, None] for k, v in x.items()}
         rows = np.bitwise_count((part["fingerprint"] ^ y["fingerprint"]).view(np.uint64)) <= radius
-        if same:
-            rows &= np.tri(*rows.shape, at - 1, dtype=bool)
         if rows.any():
             rows &= np.minimum(part["size"], y["size"]) >= similarity * np.maximum(part["size"], y["size"]) * (1 - 1e-12)
-            near[at : at + _COMPARED_AT_ONCE] = rows & (part["label"] != y["label"])
+            near[at : at + _COMPARED_AT_ONCE] = rows & (part["node"] != y["node"])
     return near
 
 
+def _pieces(size: np.ndarray) -> list[np.ndarray]:
+    """Places cut into runs of some PIECE_SHINGLES shingles, a larger text alone."""
+    number = (np.cumsum(size) - size) // PIECE_SHINGLES
+    return np.split(np.arange(len(size)), np.flatnonzero(np.diff(number)) + 1)
+
+
 def _near(batches, radius: int, similarity: float):
-    """Candidates (tile pair, a, b, thinned) of every tile pair: those of one class or refuted before are left out."""
+    """The nodes of every tile pair that have a candidate on the other side, by pairs (i, j) of pieces of the two tiles."""
     column = lambda x, name: x.values.field(name).to_numpy(zero_copy_only=False)
     for batch in batches:
         keys = [batch.column(k).to_pylist() for k in range(4)]
-        left, right, counts, thinned = [], [], np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, bool)
+        met, nodes, prints, second = [], [], [], []
         for k in range(batch.num_rows):
-            x, y, out = batch.column(4)[k], batch.column(5)[k], batch.column(6)[k]
-            first, second = ({c: column(side, c) for c in ("fingerprint", "node", "size", "label")} for side in (x, y))
-            near = _candidates(first, second, keys[0][k] == keys[2][k] and keys[1][k] == keys[3][k], radius, similarity)
+            x, y = ({c: column(side, c) for c in ("fingerprint", "node", "size")} for side in (batch.column(4)[k], batch.column(5)[k]))
+            near = _candidates(x, y, radius, similarity)
             if not near.any():
                 continue
-            nodes, others = first["node"], second["node"]
-            if out.is_valid and len(out):
-                places, beside = {v: i for i, v in enumerate(nodes.tolist())}, {v: i for i, v in enumerate(others.tolist())}
-                near[[places[v] for v in column(out, "a").tolist()], [beside[v] for v in column(out, "b").tolist()]] = False
-            thinned[k] = np.count_nonzero(near) >= len(nodes) + len(others)
-            rows, cols = _spanning(near) if thinned[k] else np.nonzero(near)
-            counts[k] = len(rows)
-            left.append(nodes[rows])
-            right.append(others[cols])
-        told = [pa.array(np.repeat(np.array(keys[i], np.int64), counts)) for i in range(4)]
-        joined = [pa.array(np.concatenate(side).astype(np.int64) if side else np.zeros(0, np.int64)) for side in (left, right)]
-        yield pa.RecordBatch.from_arrays([*told, *joined, pa.array(np.repeat(thinned, counts))], [*_PAIR, "a", "b", "thinned"])
-
-
-def _similar(batches, shingle: int):
+            same = keys[0][k] == keys[2][k] and keys[1][k] == keys[3][k]
+            for i, left in enumerate(_pieces(x["size"])):
+                for j, right in enumerate(_pieces(y["size"])):
+                    part = near[np.ix_(left, right)] if not same or i <= j else np.zeros((0, 0), bool)
+                    for side, at, beside in ((x, left[part.any(axis=1)], False), (y, right[part.any(axis=0)], True)) if part.any() else ():
+                        met += [(*(key[k] for key in keys), i, j)] * len(at)
+                        nodes.append(side["node"][at])
+                        prints.append(side["fingerprint"][at])
+                        second += [beside] * len(at)
+        told = [pa.array([m[c] for m in met], pa.int64()) for c in range(len(_GROUP))]
+        joined = [pa.array(np.concatenate(side).astype(np.int64) if side else np.zeros(0, np.int64)) for side in (nodes, prints)]
+        yield pa.RecordBatch.from_arrays([*told, *joined, pa.array(second, pa.bool_())], [*_GROUP, "node", "fingerprint", "second"])
+
+
+def _common(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sorted distinct arrays share.
+
+    Elements that many arrays hold are multiplied as 0/1 columns; the pairs of
+    arrays that share any other element are listed, some at a time.
+    """
+    out = np.zeros((len(first), len(second)))
+    vocabulary = np.intersect1d(np.concatenate([*first, np.zeros(0, np.uint64)]), np.concatenate([*second, np.zeros(0, np.uint64)]))
+    sides = []
+    for side in (first, second):
+        row, value = np.repeat(np.arange(len(side)), [len(v) for v in side]), np.concatenate([*side, np.zeros(0, np.uint64)])
+        code = np.searchsorted(vocabulary, value)
+        held = code < len(vocabulary)
+        held[held] = vocabulary[code[held]] == value[held]
+        order = np.argsort(code[held], kind="stable")
+        code = code[held][order]
+        sides.append((row[held][order], code, np.bincount(code, minlength=len(vocabulary))))
+    (row_x, code_x, n_x), (row_y, code_y, n_y) = sides
+    often = n_x * n_y > _LISTED
+    # a place among the frequent elements
+    place = np.cumsum(often) - 1
+    for at in range(0, int(often.sum()), _COLUMNS):
+        held = np.zeros((len(first), _COLUMNS), np.float32), np.zeros((len(second), _COLUMNS), np.float32)
+        for matrix, row, code in ((held[0], row_x, code_x), (held[1], row_y, code_y)):
+            chosen = often[code] & (place[code] >= at) & (place[code] < at + _COLUMNS)
+            matrix[row[chosen], place[code[chosen]] - at] = 1.0
+        out += held[0] @ held[1].T
+    chosen = ~often[code_x]
+    row_x, code_x, starts = row_x[chosen], code_x[chosen], np.cumsum(n_y) - n_y
+    times = n_y[code_x]
+    number = (np.cumsum(times) - times) // _LISTED_AT_ONCE
+    for part in np.split(np.arange(len(row_x)), np.flatnonzero(np.diff(number)) + 1):
+        of = np.repeat(part, times[part])
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(times[part]) - times[part], times[part])
+        out += np.bincount(row_x[of] * len(second) + row_y[starts[code_x[of]] + nth], minlength=out.size).reshape(out.shape)
+    return out
+
+
+def _linked(table: pa.Table, shingle: int, radius: int, similarity: float) -> pa.Table:
+    """Verified links (a, b) of two pieces; of more than their rows a spanning forest."""
+    texts, second = table.column("text").cast(pa.large_binary()), table.column("second").to_numpy(zero_copy_only=False)
     known: dict[int, np.ndarray] = {}
-
-    def own(node: int, text: pa.Scalar) -> np.ndarray:
-        if node not in known:
-            if len(known) >= _REMEMBERED:
-                known.clear()
-            known[node] = shingles(text.as_py(), shingle)
-        return known[node]
-
-    for batch in batches:
-        a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        first, second = batch.column(2).cast(pa.large_binary()), batch.column(3).cast(pa.large_binary())
-        shares = []
-        for k in range(batch.num_rows):
-            x, y = own(a[k], first[k]), own(b[k], second[k])
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            shares.append(both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shares, pa.float64())], ["a", "b", "similarity"])
+    sides = []
+    for chosen in (~second, second):
+        at = np.flatnonzero(chosen)
+        side = {c: table.column(c).to_numpy()[at] for c in ("node", "fingerprint")}
+        for node, k in zip(side["node"].tolist(), at.tolist()):
+            if node not in known:
+                known[node] = shingles(texts[k].as_py(), shingle)
+        side["sets"] = [known[node] for node in side["node"].tolist()]
+        side["size"] = np.array([len(v) for v in side["sets"]], np.int64)
+        sides.append(side)
+    x, y = sides
+    near = _candidates(*({c: side[c] for c in ("node", "fingerprint", "size")} for side in sides), radius, similarity)
+    if np.count_nonzero(near) < near.shape[0] + near.shape[1]:
+        rows, cols = np.nonzero(near)
+        both = np.array([len(np.intersect1d(x["sets"][r], y["sets"][c], assume_unique=True)) for r, c in zip(rows, cols)], float)
+        share = both / np.maximum(x["size"][rows] + y["size"][cols] - both, 1)
+        rows, cols = rows[share >= similarity], cols[share >= similarity]
+    else:
+        both = _common(x["sets"], y["sets"])
+        near &= both / np.maximum(x["size"][:, None] + y["size"][None, :] - both, 1) >= similarity
+        rows, cols = _spanning(near) if np.count_nonzero(near) >= near.shape[0] + near.shape[1] else np.nonzero(near)
+    return pa.table({"a": x["node"][rows].astype(np.int64), "b": y["node"][cols].astype(np.int64)})
 
 
 def tile_pairs(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -153,10 +205,9 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILAR
     bits.  Null texts and texts without words are one class.  Very long texts
     are read whole.  Other columns are ignored; an empty table gives none.
 
-    A tile pair with more near pairs than fingerprints yields a spanning forest
-    only.  Refuted links of a forest are struck out and the pair is looked at
-    again until no candidate between two classes is left, so no verified link
-    is lost and all pairs of a group are never emitted.
+    The texts of a tile pair's candidates meet in one task, in pieces of bounded
+    size, so a text is sent once per tile pair and refuted candidates leave no row;
+    a dense block of verified links is thinned to a spanning forest.
     """
     spark = docs.sparkSession
     texts = texts_of(docs)
@@ -165,36 +216,14 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILAR
     band = F.floor(F.log(F.greatest(F.col("size"), F.lit(1))) / math.log(1 / similarity))
     nodes = rows.groupBy("words").agg(F.min("doc_id").alias("node"), F.first("fingerprint").alias("fingerprint"), F.first("size").alias("size"))
     nodes = cut_lineage(nodes.withColumn("cell", band))
-    placed, active = tile_pairs(nodes)
-    placed = cut_lineage(placed.select("cell", "part", "node", "fingerprint", "size"))
-    links = spark.createDataFrame([], "a long, b long")
-    refuted = spark.createDataFrame([], "cell_a long, part_a long, cell_b long, part_b long, a long, b long")
-    labels = None
-    while True:
-        told = placed.withColumn("label", F.col("node"))
-        if labels is not None:
-            told = placed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        tiles = cut_lineage(told.groupBy("cell", "part").agg(F.collect_list(F.struct("fingerprint", "node", "size", "label")).alias("members")))
-        side = lambda s: tiles.select(F.col("cell").alias(f"cell_{s}"), F.col("part").alias(f"part_{s}"), F.col("members").alias(f"members_{s}"))
-        struck = refuted.groupBy(*_PAIR).agg(F.collect_list(F.struct("a", "b")).alias("out"))
-        met = active.join(struck, _PAIR, "left").join(side("a"), ["cell_a", "part_a"]).join(side("b"), ["cell_b", "part_b"])
-        met = met.select(*_PAIR, "members_a", "members_b", "out").repartition(F.xxhash64(*_PAIR))
-        with batches_of(spark, _TILE_PAIRS):
-            found = cut_lineage(met.mapInArrow(lambda batches: _near(batches, radius, similarity), "cell_a long, part_a long, cell_b long, part_b long, a long, b long, thinned boolean"))
-        if found.isEmpty():
-            break
-        pairs = found.select("a", "b").distinct()
-        ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        held = texts.join(ends, "doc_id", "left_semi")
-        both = pairs.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        with batches_of(spark, _TEXT_PAIRS):
-            judged = cut_lineage(both.select("a", "b", "text_a", "text_b").mapInArrow(lambda batches: _similar(batches, shingle), "a long, b long, similarity double"))
-        links = cut_lineage(links.unionByName(judged.where(F.col("similarity") >= similarity).select("a", "b")))
-        labels = components(links)
-        thinned = found.where("thinned")
-        refuted = cut_lineage(refuted.unionByName(thinned.join(judged.where(F.col("similarity") < similarity), ["a", "b"], "left_semi").select(*_PAIR, "a", "b")))
-        active = cut_lineage(thinned.select(*_PAIR).distinct())
-    owned = nodes.select("words", "node")
-    if labels is not None:
-        owned = owned.join(labels, "node", "left").select("words", F.coalesce("label", "node").alias("node"))
+    placed, met = tile_pairs(nodes)
+    tiles = cut_lineage(placed.groupBy("cell", "part").agg(F.collect_list(F.struct("fingerprint", "node", "size")).alias("members")))
+    side = lambda s: tiles.select(F.col("cell").alias(f"cell_{s}"), F.col("part").alias(f"part_{s}"), F.col("members").alias(f"members_{s}"))
+    met = met.join(side("a"), ["cell_a", "part_a"]).join(side("b"), ["cell_b", "part_b"]).select(*_PAIR, "members_a", "members_b").repartition(F.xxhash64(*_PAIR))
+    with batches_of(spark, _TILE_PAIRS):
+        found = cut_lineage(met.mapInArrow(lambda batches: _near(batches, radius, similarity), ", ".join(f"{c} long" for c in (*_GROUP, "node", "fingerprint")) + ", second boolean"))
+    held = found.join(texts.withColumnRenamed("doc_id", "node"), "node")
+    links = cut_lineage(held.groupBy(*_GROUP).applyInArrow(lambda table: _linked(table, shingle, radius, similarity), "a long, b long"))
+    labels = components(links)
+    owned = nodes.join(labels, "node", "left").select("words", F.coalesce("label", "node").alias("node"))
     return rows.join(owned, "words").select("doc_id", F.col("node").alias("class_id"))

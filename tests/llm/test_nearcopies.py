@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +106,35 @@ def test_every_fingerprint_goes_to_few_tiles(spark, monkeypatch):
     monkeypatch.setattr(nearcopies, "tile_pairs", counted)
     nearcopies.classes(spark.createDataFrame(texts, "doc_id long, text string"))
     assert seen[0] <= 3
+
+
+def test_block_of_refuted_candidates_takes_one_round(spark, monkeypatch):
+    # all of one template and near by fingerprint, few of them similar: links came as forests, refuted round after round
+    rng = random.Random(11)
+    first = [f"w{rng.randrange(3000)}" for _ in range(150)]
+    texts = [edited(rng, first, 7) for _ in range(90)]
+    texts += [edited(rng, t.split(), 1) for t in texts[:10]]
+    rows = list(enumerate(texts))
+    rounds = []
+    inner = nearcopies.components
+    monkeypatch.setattr(nearcopies, "components", lambda edges: rounds.append(1) or inner(edges))
+    got = {r["doc_id"]: r["class_id"] for r in nearcopies.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(rows, nearcopies.RADIUS) and 10 < len(set(got.values())) < 95 and len(rounds) == 1
+
+
+def test_classes_do_not_depend_on_pieces(spark, copies, monkeypatch):
+    monkeypatch.setattr(nearcopies, "PIECE_SHINGLES", 500)
+    got = {r["doc_id"]: r["class_id"] for r in nearcopies.classes(spark.createDataFrame(copies, "doc_id long, text string")).collect()}
+    assert got == brute_classes(copies, nearcopies.RADIUS)
+
+
+@pytest.mark.parametrize("listed", [0, 4, 10**9])
+def test_shared_elements_of_sets_are_counted(monkeypatch, listed):
+    monkeypatch.setattr(nearcopies, "_LISTED", listed)
+    monkeypatch.setattr(nearcopies, "_LISTED_AT_ONCE", 50)
+    monkeypatch.setattr(nearcopies, "_COLUMNS", 8)
+    rng = np.random.default_rng(1)
+    first, second = ([np.unique(rng.integers(0, 60, rng.integers(0, 40))).astype(np.uint64) for _ in range(n)] for n in (17, 23))
+    want = [[len(set(x.tolist()) & set(y.tolist())) for y in second] for x in first]
+    assert nearcopies._common(first, second).tolist() == want and nearcopies._common([], second).shape == (0, 23)
+    assert nearcopies._common([np.zeros(0, np.uint64)], second[:1]).tolist() == [[0.0]]
