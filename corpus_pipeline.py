@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from guidewave.functions.session import cut_lineage
 from guidewave.llm import decontaminate, language, mixing, nearcopies, sharding
+from guidewave.llm.idfilter import maybe_among
 
 
 def _whole(docs: DataFrame) -> Column:
@@ -32,11 +33,14 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Near-duplicates share 0.8 or more of their five-word shingles.  Rows are
     numbered and written once, as doc_ids may be missing or repeated.
     """
-    rows = cut_lineage(docs.select(F.monotonically_increasing_id().alias("doc_id"), "text", _whole(docs)))
-    classes = nearcopies.classes(rows)
+    rows = cut_lineage(docs.select(F.monotonically_increasing_id().alias("doc_id"), _whole(docs)))
+    classes = nearcopies.classes(rows.select("doc_id", "own.text"))
     order = F.struct(F.col("own.doc_id").isNull().alias("missing"), F.col("own.doc_id").alias("id"), F.col("doc_id").alias("row"))
     first = rows.select("doc_id", order.alias("order")).join(classes, "doc_id").groupBy("class_id").agg(F.min("order").alias("order"))
-    return rows.join(first.select(F.col("order.row").alias("doc_id")), "doc_id", "left_semi").select("own.*")
+    gone = cut_lineage(rows.select("doc_id").join(first.select(F.col("order.row").alias("doc_id")), "doc_id", "left_anti"))
+    # most rows surely stay, and stay where they are
+    told = maybe_among(rows, "doc_id", gone)
+    return told.where("NOT maybe").select("own.*").unionByName(told.where("maybe").join(gone, "doc_id", "left_anti").select("own.*"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

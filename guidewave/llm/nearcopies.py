@@ -22,9 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.session import cut_lineage
-from .simhash import TILE_ROWS, _spanning, components, simhash
+from .idfilter import maybe_among
+from .simhash import _spanning, components, simhash
 from .textruns import texts_of
 
+#: fingerprints in a tile on average; each is sent once per tile that its own one meets
+TILE_ROWS = 2048
 SHINGLE = 5
 SIMILARITY = 0.8
 #: bits by which candidates may differ; a similarity of 0.8 differs in 9.7 bits of 64 on average
@@ -219,10 +222,12 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILAR
     placed, met = tile_pairs(nodes)
     tiles = cut_lineage(placed.groupBy("cell", "part").agg(F.collect_list(F.struct("fingerprint", "node", "size")).alias("members")))
     side = lambda s: tiles.select(F.col("cell").alias(f"cell_{s}"), F.col("part").alias(f"part_{s}"), F.col("members").alias(f"members_{s}"))
-    met = met.join(side("a"), ["cell_a", "part_a"]).join(side("b"), ["cell_b", "part_b"]).select(*_PAIR, "members_a", "members_b").repartition(F.xxhash64(*_PAIR))
+    # pairs stay where their second tile is: moved again, they would be two tiles each
+    met = met.join(side("a"), ["cell_a", "part_a"]).join(side("b"), ["cell_b", "part_b"]).select(*_PAIR, "members_a", "members_b")
     with batches_of(spark, _TILE_PAIRS):
         found = cut_lineage(met.mapInArrow(lambda batches: _near(batches, radius, similarity), ", ".join(f"{c} long" for c in (*_GROUP, "node", "fingerprint")) + ", second boolean"))
-    held = found.join(texts.withColumnRenamed("doc_id", "node"), "node")
+    wanted = maybe_among(texts.withColumnRenamed("doc_id", "node"), "node", found).where("maybe").select("node", "text")
+    held = found.join(wanted, "node")
     links = cut_lineage(held.groupBy(*_GROUP).applyInArrow(lambda table: _linked(table, shingle, radius, similarity), "a long, b long"))
     labels = components(links)
     owned = nodes.join(labels, "node", "left").select("words", F.coalesce("label", "node").alias("node"))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from guidewave.llm import nearcopies
+from guidewave.llm import idfilter, nearcopies
 
 
 def grams(text):
@@ -138,3 +138,26 @@ def test_shared_elements_of_sets_are_counted(monkeypatch, listed):
     want = [[len(set(x.tolist()) & set(y.tolist())) for y in second] for x in first]
     assert nearcopies._common(first, second).tolist() == want and nearcopies._common([], second).shape == (0, 23)
     assert nearcopies._common([np.zeros(0, np.uint64)], second[:1]).tolist() == [[0.0]]
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 25])
+def test_only_ids_surely_absent_are_told_so(spark, monkeypatch, bits):
+    monkeypatch.setattr(idfilter, "BITS", bits)
+    rows = spark.range(2000).select((F.col("id") - 5).alias("doc_id"), F.col("id").cast("string").alias("_x"))
+    ids = rows.where("doc_id % 40 = 0").select("doc_id")
+    told = idfilter.maybe_among(rows, "doc_id", ids.union(ids))
+    found = {r["doc_id"]: r["maybe"] for r in told.collect()}
+    assert len(found) == 2000 == told.count() and all(found[d] for d in found if d % 40 == 0)
+    assert sum(found.values()) == 50 if bits > 64 else sum(found.values()) > 50
+    assert idfilter.maybe_among(rows, "doc_id", ids.where("false")).where("maybe").count() == 0
+
+
+def test_stage_moves_no_row_that_surely_stays(spark, copies):
+    # the whole rows went through the exchange of a join by id
+    frame = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in copies], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = corpus_pipeline.deduplicated(spark, frame, "")._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Union" in plan and plan.count("BroadcastHashJoin") >= 2
