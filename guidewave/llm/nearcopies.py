@@ -27,7 +27,7 @@ from .simhash import _spanning, components, simhash
 from .textruns import texts_of
 
 #: fingerprints in a tile on average; each is sent once per tile that its own one meets
-TILE_ROWS = 2048
+TILE_ROWS = 1024
 SHINGLE = 5
 SIMILARITY = 0.8
 #: bits by which candidates may differ; a similarity of 0.8 differs in 9.7 bits of 64 on average
