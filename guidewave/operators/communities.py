@@ -4,18 +4,25 @@ Communities merge: in a round, those on one side of a hash coin join their best
 ones are the nodes of the next, smaller round, so rounds grow with the logarithm of the graph.  Then single nodes move
 between communities until little is left to gain: once while communities are small, as ties between first mergers are
 blind, and again whenever merging has ended.
+
+A graph of at most ``TASK_EDGES`` edges goes through these rounds inside one task (``taskgraph``), so a merging and the
+moves after it are one Spark job instead of several per round; a larger one goes through them as joins.
 """
 
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.session import cut_lineage
+from . import taskgraph as TG
 
 #: moves of single nodes end when all open ones together promise less than this modularity
 TOLERANCE = 2e-3
@@ -25,6 +32,8 @@ FIRST_TOLERANCE = 10.0
 NEAR_BEST = 0.9
 #: mean size of a community at which the first mergers pause
 FIRST_SIZE = 4
+#: the most edges that one task holds: 24 bytes each, up to three times that while communities merge
+TASK_EDGES = 10_000_000
 #: ranks of gains inside a community: powers of two and, inside one of them, hash parts
 _POWERS, _PARTS = 64, 16
 #: whether a node stays in a round; the salt is a column, so the code that Spark compiles serves all rounds
@@ -62,11 +71,17 @@ def find_communities(edges: DataFrame, resolution: float = 1.0, seed: int = 0, t
 
     Splitting raises modularity, so no step lowers it, and every community is connected.
     """
-    graph = cut_lineage(undirected(edges))
+    graph, entries = _written(undirected(edges), F.count("*"))
     total = graph.agg(F.sum("w").alias("t")).first()["t"]
     nodes, n = _written(graph.groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("k")).withColumn("com", F.col("node")), F.count("*"))
     rounds: list[int] = []
-    while total:
+    in_task = entries <= 2 * TASK_EDGES
+    while total and in_task:
+        nodes, merged, moved = _in_task(graph, nodes, resolution, seed + len(rounds), 0 if rounds else n - n // FIRST_SIZE, tolerance * (1.0 if rounds else FIRST_TOLERANCE))
+        rounds += [merged, moved] if merged else [merged]
+        if not merged or not moved and len(rounds) > 2:
+            break
+    while total and not in_task:
         nodes, merged = _merging(graph, nodes, resolution, float(total), seed + len(rounds), 0 if rounds else n - n // FIRST_SIZE)
         rounds.append(merged)
         if not merged:
@@ -83,6 +98,36 @@ def find_communities(edges: DataFrame, resolution: float = 1.0, seed: int = 0, t
     return Communities(nodes.join(numbers, "com").select(F.col("node").alias("cell_id"), "cluster"), rounds)
 
 
+def _one_task(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``nodes`` (a, b) and ``links`` (a, b, w) as rows of one partition, in the order that ``taskgraph.read`` takes."""
+    rows = nodes.select(F.lit(0).alias("kind"), "a", "b", F.lit(0.0).alias("w")).unionByName(links.select(F.lit(1).alias("kind"), "a", "b", "w"))
+    return rows.repartition(1).sortWithinPartitions("kind", "a", "b")
+
+
+def _in_task(graph: DataFrame, nodes: DataFrame, resolution: float, seed: int, most: int, tolerance: float) -> tuple[DataFrame, int, int]:
+    """``nodes`` after merging, moves and the split into connected parts in one task, and the rounds of the first two."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, com, held = TG.read(batches)
+        if not len(ids):
+            return
+        total = float(held.k.sum())
+        found, merged = TG.merged(held, com, resolution / total, seed, most)
+        moved = 0
+        if merged:
+            found, moved = TG.moved(held, found, resolution / total, seed + 1, tolerance * total)
+        names = TG.connected(held, found) if merged else com
+        n = len(ids)
+        out = {"node": ids, "k": held.k, "com": ids.take(pa.array(names)), "salt": np.full(n, seed, np.int32), "moved": names != com, "merged": np.full(n, merged, np.int32), "rounds": np.full(n, moved, np.int32)}
+        yield from pa.table(out).to_batches(max_chunksize=1 << 16)
+
+    name = graph.schema["a"].dataType.simpleString()
+    seen = Observation()
+    done = _one_task(nodes.select(F.col("node").alias("a"), F.col("com").alias("b")), graph).mapInArrow(step, f"node {name}, k double, com {name}, salt int, moved boolean, merged int, rounds int")
+    out = cut_lineage(done.observe(seen, F.max("merged").alias("merged"), F.max("rounds").alias("rounds")).select("node", "k", "com", "salt", "moved"))
+    return out.select("node", "k", "com"), seen.get["merged"] or 0, seen.get["rounds"] or 0
+
+
 def _merging(graph: DataFrame, nodes: DataFrame, resolution: float, total: float, seed: int, most: int) -> tuple[DataFrame, int]:
     """``nodes`` with the communities after rounds of mergers, and the rounds; they pause after ``most`` mergers (0: never).
 
@@ -220,7 +265,9 @@ def connected_parts(graph: DataFrame, label: DataFrame) -> DataFrame:
     """
     com = label.select("cell_id", F.col("node").alias("com"))
     inside = graph.join(com.select(F.col("cell_id").alias("a"), F.col("com").alias("ca")), "a").join(com.select(F.col("cell_id").alias("b"), F.col("com").alias("cb")), "b")
-    inside = cut_lineage(inside.where("ca = cb").select("a", "b"))
+    inside, entries = _written(inside.where("ca = cb").select("a", "b"), F.count("*"))
+    if entries <= 2 * TASK_EDGES:
+        return _parts_in_task(inside, label)
     names = cut_lineage(label.select("cell_id", F.col("cell_id").alias("node")))
     while True:
         heard = inside.join(names.select(F.col("cell_id").alias("b"), "node"), "b").groupBy(F.col("a").alias("cell_id")).agg(F.min("node").alias("heard"))
@@ -231,3 +278,16 @@ def connected_parts(graph: DataFrame, label: DataFrame) -> DataFrame:
         if not n:
             return step.select("cell_id", "node")
         names = step.select("cell_id", "node")
+
+
+def _parts_in_task(inside: DataFrame, label: DataFrame) -> DataFrame:
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, _, held = TG.read(batches)
+        if len(ids):
+            names = TG.connected(held, np.zeros(len(ids), np.int8))
+            yield from pa.table({"cell_id": ids, "node": ids.take(pa.array(names))}).to_batches(max_chunksize=1 << 16)
+
+    name = label.schema["cell_id"].dataType.simpleString()
+    links = inside.select("a", "b", F.lit(0.0).alias("w"))
+    return _one_task(label.select(F.col("cell_id").alias("a"), F.col("cell_id").alias("b")), links).mapInArrow(parts, f"cell_id {name}, node {name}")

@@ -13,6 +13,7 @@ from guidewave.operators import connectivities as CN
 from guidewave.operators import discriminant as D
 from guidewave.operators import grouping as GR
 from guidewave.operators import markers as MK
+from guidewave.operators import taskgraph as TG
 from guidewave.operators import variable as VG
 
 # supervised projection
@@ -262,6 +263,66 @@ def test_graph_without_edges_or_with_loops_only(spark):
     assert C.communities(edges_of(spark, []).where("false")).count() == 0
 
 
+def test_a_small_graph_takes_few_jobs(spark, monkeypatch):
+    writes, keep = [], C.cut_lineage
+    monkeypatch.setattr(C, "cut_lineage", lambda df: writes.append(1) or keep(df))
+    found = labels_of(C.communities(edges_of(spark, cliques(24, 5))))
+    assert len(found) == 120 and len(writes) <= 8
+
+
+def test_joins_beyond_the_bound_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(C, "TASK_EDGES", 0)
+    monkeypatch.setattr(C, "_one_task", None)
+    found = labels_of(C.communities(edges_of(spark, cliques(8, 5))))
+    groups = {frozenset(n for n in found if found[n] == c) for c in set(found.values())}
+    assert groups == {frozenset(range(c * 5, c * 5 + 5)) for c in range(8)}
+
+
+def test_names_of_any_type_give_connected_communities(spark):
+    named = edges_of(spark, cliques(6, 5)).select(F.concat(F.lit("é"), "src").alias("src"), F.concat(F.lit("é"), "dst").alias("dst"), "weight")
+    found = C.communities(named)
+    parts = C.connected_parts(C.undirected(named), found.select("cell_id", F.col("cluster").alias("node")))
+    groups = lambda df, c: {frozenset(r["cell_id"] for r in df.collect() if r[c] == x) for x in {r[c] for r in df.collect()}}
+    assert found.count() == 30 and groups(found, "cluster") == groups(parts, "node")
+
+
+def task_graph(pairs, n):
+    rows = sorted([(a, b, w) for a, b, w in pairs] + [(b, a, w) for a, b, w in pairs])
+    sizes = np.bincount([a for a, *_ in rows], minlength=n)
+    return TG.Graph(np.concatenate([[0], np.cumsum(sizes)]), np.array([b for _, b, _ in rows], np.int32), np.array([w for *_, w in rows]), np.bincount([a for a, *_ in rows], weights=[w for *_, w in rows], minlength=n))
+
+
+@pytest.mark.parametrize("entries", [1, 7, 1 << 18])
+def test_rounds_in_a_task_against_brute_force(monkeypatch, entries):
+    """Whatever the parts: contracted links, degrees, rising modularity and the connected parts."""
+    monkeypatch.setattr(TG, "_ENTRIES", entries)
+    rng = np.random.default_rng(5)
+    pairs = [(a, b, float(rng.integers(1, 9))) for a, b in itertools.combinations(range(70), 2) if rng.random() < (0.5 if a % 5 == b % 5 else 0.04)]
+    graph, label = task_graph(pairs, 70), rng.integers(0, 12, 70).astype(np.int32)
+    level, want = TG.contracted(graph, label, 12), {}
+    for a, b, w in pairs:
+        for x, y in ((label[a], label[b]), (label[b], label[a])):
+            if x != y:
+                want[x, y] = want.get((x, y), 0) + w
+    assert {(x, int(level.other[i])): level.w[i] for x in range(12) for i in range(level.start[x], level.start[x + 1])} == want
+    assert len(level.other) == len(want) and level.k.tolist() == np.bincount(label, weights=graph.k, minlength=12).tolist()
+    rate, alone = 1 / graph.k.sum(), np.arange(70)
+    course = [brute_modularity(pairs, dict(enumerate(alone.tolist())))]
+    merged, rounds = TG.merged(graph, alone, rate, 3, 0)
+    course.append(brute_modularity(pairs, dict(enumerate(merged.tolist()))))
+    moved, _ = TG.moved(graph, merged, rate, 4, 0.0)
+    course.append(brute_modularity(pairs, dict(enumerate(moved.tolist()))))
+    assert rounds and course == sorted(course) and course[-1] >= brute_modularity(pairs, {n: n % 5 for n in range(70)}) - 1e-12
+    # no single move is left that gains
+    assert all(brute_modularity(pairs, dict(enumerate(moved.tolist())) | {n: c}) <= course[-1] + 1e-9 for n in range(70) for c in set(moved.tolist()))
+    name = alone.copy()
+    for _ in range(70):
+        for a, b, _ in pairs:
+            if label[a] == label[b]:
+                name[a] = name[b] = min(name[a], name[b])
+    assert TG.connected(graph, label).tolist() == name.tolist()
+
+
 # variable genes
 
 def brute_trend(counts, batches, n_top, span=0.3):
