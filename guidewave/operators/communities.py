@@ -32,7 +32,7 @@ FIRST_TOLERANCE = 10.0
 NEAR_BEST = 0.9
 #: mean size of a community at which the first mergers pause
 FIRST_SIZE = 4
-#: the most edges that one task holds: 24 bytes each, up to three times that while communities merge
+#: the most edges that one task holds (690 MB of Python were measured with 5 million)
 TASK_EDGES = 10_000_000
 #: ranks of gains inside a community: powers of two and, inside one of them, hash parts
 _POWERS, _PARTS = 64, 16
@@ -55,6 +55,11 @@ def _written(df: DataFrame, figure: Column) -> tuple[DataFrame, float]:
     return out, seen.get["figure"] or 0
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """``df`` for a join that may not broadcast it: a written table of a row per node is small in Parquet, not on the driver."""
+    return df.hint("merge")
+
+
 def undirected(edges: DataFrame) -> DataFrame:
     """(a, b, w) in both directions; an edge may be listed once or twice, self loops go."""
     e = edges.where("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), "weight").groupBy("a", "b").agg(F.max("weight").alias("w"))
@@ -91,7 +96,7 @@ def find_communities(edges: DataFrame, resolution: float = 1.0, seed: int = 0, t
         if not moved and len(rounds) > 2:
             break
         parts = connected_parts(graph, nodes.select(F.col("node").alias("cell_id"), F.col("com").alias("node")))
-        nodes = cut_lineage(nodes.drop("com").join(parts.select(F.col("cell_id").alias("node"), F.col("node").alias("com")), "node"))
+        nodes = cut_lineage(nodes.drop("com").join(_shuffled(parts.select(F.col("cell_id").alias("node"), F.col("node").alias("com"))), "node"))
     sizes = nodes.groupBy("com").agg(F.count(F.lit(1)).alias("n"))
     order = W.orderBy(F.col("n").desc(), F.col("com"))  # one row per community
     numbers = sizes.withColumn("cluster", (F.row_number().over(order) - 1).cast("string"))
@@ -135,7 +140,7 @@ def _merging(graph: DataFrame, nodes: DataFrame, resolution: float, total: float
     If no merger is sure, the best one is made alone.
     """
     sums = nodes.groupBy("com").agg(F.sum("k").alias("k"))
-    end = lambda side: nodes.select(F.col("node").alias(side), F.col("com").alias(f"c{side}"))
+    end = lambda side: _shuffled(nodes.select(F.col("node").alias(side), F.col("com").alias(f"c{side}")))
     pairs = graph.where("a < b").join(end("a"), "a").join(end("b"), "b").where("ca <> cb")
     pairs = pairs.groupBy(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).agg(F.sum("w").alias("w"))
     degree = lambda side: sums.select(F.col("com").alias(side), F.col("k").alias(f"k{side}"))
@@ -161,7 +166,7 @@ def _merging(graph: DataFrame, nodes: DataFrame, resolution: float, total: float
     parent = parents[0]
     for more in parents[1:]:
         parent = parent.unionByName(more)
-    return cut_lineage(nodes.join(_roots(parent).select(F.col("node").alias("com"), "root"), "com", "left").select("node", "k", F.coalesce("root", "com").alias("com"))), len(parents)
+    return cut_lineage(nodes.join(_shuffled(_roots(parent).select(F.col("node").alias("com"), "root")), "com", "left").select("node", "k", F.coalesce("root", "com").alias("com"))), len(parents)
 
 
 def _joiners(gains: DataFrame, resolution: float, total: float) -> DataFrame:
@@ -180,7 +185,7 @@ def _merged(level: DataFrame, joined: DataFrame) -> DataFrame:
     grown = joined.groupBy("target").agg((F.sum("k") + F.first("there")).alias("grown"))
     moved = joined.join(grown, "target").select(F.col("node").alias("old"), F.col("target").alias("new"), "grown").unionByName(grown.select(F.col("target").alias("old"), F.col("target").alias("new"), "grown"))
     for side in ("a", "b"):
-        level = level.join(moved.select(F.col("old").alias(side), F.col("new").alias(f"n{side}"), F.col("grown").alias(f"g{side}")), side, "left")
+        level = level.join(_shuffled(moved.select(F.col("old").alias(side), F.col("new").alias(f"n{side}"), F.col("grown").alias(f"g{side}"))), side, "left")
     x = F.struct(F.coalesce("na", "a").alias("c"), F.coalesce("ga", "ka").alias("k"))
     y = F.struct(F.coalesce("nb", "b").alias("c"), F.coalesce("gb", "kb").alias("k"))
     apart = level.select(x.alias("x"), y.alias("y"), "w", "salt").where("x.c <> y.c").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "w", "salt")
@@ -192,7 +197,7 @@ def _roots(parent: DataFrame) -> DataFrame:
     names = cut_lineage(parent.select("node", F.col("target").alias("root")))
     while True:
         up = names.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        jumped, n = _written(names.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")), F.count_if("moved"))
+        jumped, n = _written(names.join(_shuffled(up), "root", "left").select("node", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")), F.count_if("moved"))
         if not n:
             return jumped.drop("moved")
         names = jumped.drop("moved")
@@ -207,7 +212,7 @@ def _proposals(graph: DataFrame, nodes: DataFrame, resolution: float, total: flo
     """
     mass = nodes.groupBy("com").agg(F.sum("k").alias("mass"))
     near = nodes.select(F.col("node").alias("b"), F.col("com").alias("target"), (~F.expr(_COIN.format("node"))).alias("goes"))
-    links = graph.where("a <> b").join(near, "b").groupBy(F.col("a").alias("node"), "target").agg(F.sum("w").alias("to"), F.sum(F.when(~F.col("goes"), F.col("w")).otherwise(0.0)).alias("held"))
+    links = graph.where("a <> b").join(_shuffled(near), "b").groupBy(F.col("a").alias("node"), "target").agg(F.sum("w").alias("to"), F.sum(F.when(~F.col("goes"), F.col("w")).otherwise(0.0)).alias("held"))
     own = nodes.join(mass, "com").join(links.select("node", F.col("target").alias("com"), F.col("to").alias("inside")), ["node", "com"], "left")
     stay = F.coalesce("inside", F.lit(0.0)) - resolution * F.col("k") * (F.col("mass") - F.col("k")) / total
     options = links.join(own.select("node", "com", "k", "salt", stay.alias("stay")), "node").where("target <> com").join(mass.select(F.col("com").alias("target"), F.col("mass").alias("there")), "target")
@@ -263,14 +268,14 @@ def connected_parts(graph: DataFrame, label: DataFrame) -> DataFrame:
     Least names spread along the edges inside communities and jump over names already
     reached, so rounds grow with the logarithm of a community's diameter.
     """
-    com = label.select("cell_id", F.col("node").alias("com"))
+    com = _shuffled(label.select("cell_id", F.col("node").alias("com")))
     inside = graph.join(com.select(F.col("cell_id").alias("a"), F.col("com").alias("ca")), "a").join(com.select(F.col("cell_id").alias("b"), F.col("com").alias("cb")), "b")
     inside, entries = _written(inside.where("ca = cb").select("a", "b"), F.count("*"))
     if entries <= 2 * TASK_EDGES:
         return _parts_in_task(inside, label)
     names = cut_lineage(label.select("cell_id", F.col("cell_id").alias("node")))
     while True:
-        heard = inside.join(names.select(F.col("cell_id").alias("b"), "node"), "b").groupBy(F.col("a").alias("cell_id")).agg(F.min("node").alias("heard"))
+        heard = inside.join(_shuffled(names.select(F.col("cell_id").alias("b"), "node")), "b").groupBy(F.col("a").alias("cell_id")).agg(F.min("node").alias("heard"))
         least = names.join(heard, "cell_id", "left").select("cell_id", "node", F.least("node", "heard").alias("low"))
         # the name that the named cell itself has heard of
         jump = least.select(F.col("cell_id").alias("low"), F.col("low").alias("lower"))

@@ -140,7 +140,7 @@ def ml_07c(spark, sf):
     order = sizes.alias("a").join(sizes.alias("b"), F.col("a.no") + 1 == F.col("b.no")).agg(F.coalesce(F.every(F.col("a.n") >= F.col("b.n")), F.lit(True)).alias("numbered_by_size"))
     parts = C.connected_parts(C.undirected(graph), found.select("cell_id", F.col("cluster").alias("node")))
     pieces = parts.select("node").distinct().agg(F.count("*").alias("pieces"))
-    best, given = GR.modularity(graph, found), GR.modularity(graph, V.cells(spark, sf).select("cell_id", "cluster"))
+    best, given = GR.modularity(graph, found.hint("merge")), GR.modularity(graph, V.cells(spark, sf).select("cell_id", "cluster"))
     out = found.agg(F.count("*").alias("n_cells"), F.count_distinct("cluster").alias("k")).crossJoin(order).crossJoin(pieces).crossJoin(best.withColumnRenamed("modularity", "q")).crossJoin(given)  # one row each
     return out.select("n_cells", "numbered_by_size", (F.col("pieces") == F.col("k")).alias("connected"), (F.col("q") >= F.col("modularity")).alias("no_worse_than_labels"))
 

@@ -278,6 +278,22 @@ def test_joins_beyond_the_bound_of_a_task(spark, monkeypatch):
     assert groups == {frozenset(range(c * 5, c * 5 + 5)) for c in range(8)}
 
 
+def test_node_tables_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(C, "TASK_EDGES", 0)
+    plans, keep = [], C.cut_lineage
+
+    def spied(df):
+        plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return keep(df)
+
+    graph = keep(C.undirected(edges_of(spark, cliques(4, 4))))
+    label = keep(graph.select(F.col("a").alias("cell_id")).distinct().withColumn("node", F.lit("x")))
+    monkeypatch.setattr(C, "cut_lineage", spied)
+    assert C.connected_parts(graph, label).select("node").distinct().count() == 1
+    inside = [plan for columns, plan in plans if columns == ["a", "b"]]
+    assert len(inside) == 1 and "SortMergeJoin" in inside[0] and "Broadcast" not in inside[0]
+
+
 def test_names_of_any_type_give_connected_communities(spark):
     named = edges_of(spark, cliques(6, 5)).select(F.concat(F.lit("é"), "src").alias("src"), F.concat(F.lit("é"), "dst").alias("dst"), "weight")
     found = C.communities(named)
